@@ -1,0 +1,26 @@
+"""Cut a lineage by writing it where every executor can read it."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def checkpointed(table: DataFrame) -> DataFrame:
+    """``table`` written to the session's checkpoint folder and read from there.
+
+    The folder is the session's ``spark.checkpoint.dir``. Only a local session
+    that has none gets a temporary one; on a cluster that is an error, since a
+    folder of one machine would be lost with it.
+    """
+    spark = table.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="termloom-checkpoint-")
+        context.setCheckpointDir(folder)
+    return table.checkpoint()
