@@ -8,12 +8,33 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from termloom.plans.scoring import STRATEGIES, score
 from termloom.session import build_session
 from termloom.sinks.report import ORDERS, report, write_report
 from termloom.sources.files import list_documents, read_documents, read_lines
 
 
+def score_files(
+    spark: SparkSession,
+    source: str | list[str],
+    target: str,
+    grain: str = "document",
+    strategy: str = "lookup",
+    doc_key: str = "name",
+    glob: str | None = None,
+    order: str = "total",
+    places: int = 10,
+) -> None:
+    """Read a directory of text files, score it, write the report."""
+    read = read_documents if grain == "document" else read_lines
+    corpus = read(spark, source, doc_key, glob)
+    documents = list_documents(spark, source, doc_key, glob)
+    scores = score(corpus, grain, strategy, documents)
+    write_report(report(scores, places, order), target)
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="termloom", description="tfidf of a directory of text files")
     parser.add_argument("input", nargs="+", help="directories or files")
@@ -26,12 +47,17 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--places", type=int, default=10)
     options = parser.parse_args(arguments)
 
-    spark = build_session()
-    read = read_documents if options.grain == "document" else read_lines
-    corpus = read(spark, options.input, options.doc_key, options.glob)
-    documents = list_documents(spark, options.input, options.doc_key, options.glob)
-    scores = score(corpus, options.grain, options.strategy, documents)
-    write_report(report(scores, options.places, options.order), options.output)
+    score_files(
+        build_session(),
+        options.input,
+        options.output,
+        options.grain,
+        options.strategy,
+        options.doc_key,
+        options.glob,
+        options.order,
+        options.places,
+    )
 
 
 if __name__ == "__main__":

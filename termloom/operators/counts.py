@@ -81,7 +81,10 @@ def term_counts(corpus: DataFrame, grain: str = "document") -> DataFrame:
     check_grain(grain)
     if grain == "document":
         return term_counts_with_size(corpus).drop("doc_size")
-    return tokenize(corpus).groupBy("doc", "term").agg(F.count("*").alias("word_count"))
+    # A line without a document belongs to none. The filter stands here, in every
+    # use of the counts, because joins on the document would add it to some.
+    lines = corpus.where("doc IS NOT NULL")
+    return tokenize(lines).groupBy("doc", "term").agg(F.count("*").alias("word_count"))
 
 
 def doc_sizes(corpus: DataFrame, grain: str = "document") -> DataFrame:
@@ -92,7 +95,7 @@ def doc_sizes(corpus: DataFrame, grain: str = "document") -> DataFrame:
     )
     if grain == "document":
         return rows
-    return rows.groupBy("doc").agg(F.sum("doc_size").alias("doc_size"))
+    return rows.where("doc IS NOT NULL").groupBy("doc").agg(F.sum("doc_size").alias("doc_size"))
 
 
 def sizes_of_counts(counts: DataFrame) -> DataFrame:

@@ -52,14 +52,17 @@ def attach(
     """
     values = [c for c in table.columns if c != key]
     share = table.agg((F.sum(weight) / F.lit(hot_keys)).alias("share")).scalar()
-    hot = table.where(
-        (F.col(weight) > share)
-        & (F.octet_length(F.col(key).cast("string")) <= F.lit(HOT_KEY_BYTES))
-    ).select(key, *(F.col(v).alias(f"hot_{v}") for v in values))
+    # One expression on count and length: a filter on the key alone would be moved
+    # below the count, and the count would no longer be shared with the cold side.
+    short = F.octet_length(F.col(key).cast("string")) <= F.lit(HOT_KEY_BYTES)
+    hot = table.where(F.when(short, F.col(weight)) > share).select(
+        key, *(F.col(v).alias(f"hot_{v}") for v in values)
+    )
 
     if miss is None:
-        known = F.concat(F.lit("="), F.col(key).cast("string"))
-        miss = F.concat(F.lit("#"), F.xxhash64(spread).cast("string"))
+        # concat_ws is never NULL, so the join puts no filter on it below the count.
+        known = F.concat_ws("=", F.lit(""), F.col(key).cast("string"))
+        miss = F.concat_ws("#", F.lit(""), F.xxhash64(spread).cast("string"))
     else:
         known = F.col(key)
     cold = table.select(known.alias("probe"), *(F.col(v).alias(f"cold_{v}") for v in values))

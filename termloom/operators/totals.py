@@ -7,10 +7,19 @@ from pyspark.sql import functions as F
 
 
 def with_group_total(
-    rows: DataFrame, group: str, spread: str, value: Column, name: str, slices: int | None = None
+    rows: DataFrame,
+    group: str,
+    spread: str,
+    value: Column,
+    name: str,
+    over: DataFrame | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ``name``: ``value`` summed over all rows with the same ``group``.
 
+    ``over`` gives the rows to sum if a cheaper table than ``rows`` has the same
+    ones; it needs ``group``, ``spread`` and the columns of ``value``.
+
     A window partitioned by ``group`` would sort all rows of a group in one
     task. Instead the groups are cut into slices by a hash of ``spread``, the
     slices are summed, and the window runs over those sums: at most ``slices``
@@ -22,9 +31,15 @@ def with_group_total(
     """
     if slices is None:
         slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = rows.withColumn("slice", F.pmod(F.xxhash64(spread), F.lit(slices)))
-    sums = sliced.groupBy(group, "slice").agg(F.sum(value).alias("slice_sum"))
+    # Never NULL, and known to be, so that the join adds no filter to one side only.
+    slice_of = F.coalesce(F.pmod(F.xxhash64(spread), F.lit(slices)), F.lit(0)).alias("slice")
+    sums = (
+        (rows if over is None else over)
+        .groupBy(group, slice_of)
+        .agg(F.sum(value).alias("slice_sum"))
+    )
     totals = sums.select(
         group, "slice", F.sum("slice_sum").over(Window.partitionBy(group)).alias(name)
     )
+    sliced = rows.select("*", slice_of)
     return sliced.join(totals.hint("shuffle_hash"), [group, "slice"]).select(*rows.columns, name)

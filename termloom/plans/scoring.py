@@ -45,6 +45,7 @@ from termloom.operators.counts import (
 from termloom.operators.frequency import doc_freq, doc_freq_of_counts
 from termloom.operators.lookup import attach_by_doc, attach_by_term
 from termloom.operators.postings import explode_postings, postings
+from termloom.operators.tokens import terms_per_row
 from termloom.operators.totals import with_group_total
 from termloom.plans.materialise import checkpointed
 
@@ -58,7 +59,6 @@ _ROW_BYTES = 64
 
 def counts_and_frequency(corpus: DataFrame, grain: str) -> tuple[DataFrame, DataFrame]:
     """``(doc, term, word_count, doc_size)`` and ``(term, num_docs_with_word)``."""
-    check_grain(grain)
     if grain == "document":
         return term_counts_with_size(corpus), doc_freq(corpus)
     counts = term_counts(corpus, grain)
@@ -66,17 +66,30 @@ def counts_and_frequency(corpus: DataFrame, grain: str) -> tuple[DataFrame, Data
     return sized, doc_freq_of_counts(counts)
 
 
+def counts_with_totals(corpus: DataFrame, grain: str) -> DataFrame:
+    """``(doc, term, word_count, doc_size, num_docs_with_word)`` by group totals."""
+    total = "num_docs_with_word"
+    if grain == "document":
+        counts = term_counts_with_size(corpus)
+        return with_group_total(counts, "term", "doc", F.lit(1), total, terms_per_row(corpus))
+    counts = term_counts(corpus, grain)
+    sized = with_group_total(counts, "doc", "term", F.col("word_count"), "doc_size")
+    # Always 1; naming word_count lets both totals use one shuffle of the counts.
+    one = F.when(F.col("word_count") > 0, 1)
+    return with_group_total(sized, "term", "doc", one, total, counts)
+
+
 def fits_broadcast(frequency: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure a frequency table. Runs a job; one row comes back to the driver."""
     size = F.sum(F.octet_length("term") + F.lit(_ROW_BYTES)).alias("size")
     return (frequency.agg(size).first()["size"] or 0) <= max_bytes
 
 
-def _attach_frequency(
-    counts: DataFrame, frequency: DataFrame, strategy: str, max_bytes: int
+def _counts_with_lookup(
+    corpus: DataFrame, grain: str, strategy: str, max_bytes: int
 ) -> DataFrame:
-    if strategy == "window":
-        return with_group_total(counts, "term", "doc", F.lit(1), "num_docs_with_word")
+    """The columns of ``counts_with_totals``, by a lookup of the frequencies."""
+    counts, frequency = counts_and_frequency(corpus, grain)
     if strategy == "broadcast":
         frequency = checkpointed(frequency)
         if fits_broadcast(frequency, max_bytes):
@@ -107,17 +120,21 @@ def score(
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
-    counts, frequency = counts_and_frequency(corpus, grain)
+    check_grain(grain)
     counted = num_docs(corpus, grain) if documents is None else num_docs(documents)
     docs = counted.scalar()
 
     if strategy in ("join", "product"):
+        counts, frequency = counts_and_frequency(corpus, grain)
         tf_rows, idf_rows = tf_table(counts), idf_of_pairs(counts, frequency, docs)
         if strategy == "join":
             return join_values(tf_rows, idf_rows)
         return product_of_values(union_values(tf_rows, idf_rows))
 
-    matched = _attach_frequency(counts, frequency, strategy, max_broadcast_bytes)
+    if strategy == "window":
+        matched = counts_with_totals(corpus, grain)
+    else:
+        matched = _counts_with_lookup(corpus, grain, strategy, max_broadcast_bytes)
     record = matched.withColumn("num_docs", docs)
     return record.select(
         "doc",
