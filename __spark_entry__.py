@@ -81,9 +81,9 @@ def _tf(corpus: DataFrame) -> DataFrame:
 
 
 def _tf_idf_union(corpus: DataFrame) -> DataFrame:
-    pairs, freq = scoring.counts_and_frequency(corpus, "document")
     docs = counts.num_docs(corpus).scalar()
-    return combine.union_values(combine.tf_table(pairs), scoring.idf_of_pairs(pairs, freq, docs))
+    idf_rows = scoring.idf_of_pairs(tk.terms_per_row(corpus), frequency.doc_freq(corpus), docs)
+    return combine.union_values(_tf(corpus), idf_rows)
 
 
 def _doc_freq_merge(corpus: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ very common term can unbalance.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import has_terms, terms_of
@@ -17,6 +17,9 @@ from termloom.operators.tokens import terms_per_row, tokenize
 
 GRAINS = ("document", "line")
 
+# A term with the blank after it, and the same again any number of times.
+_RUN = r"([^ ]+ )\1*"
+
 
 def check_grain(grain: str) -> None:
     if grain not in GRAINS:
@@ -33,46 +36,31 @@ def num_docs(corpus: DataFrame, grain: str = "document") -> DataFrame:
     return corpus.agg(docs.alias("num_docs"))
 
 
-def _runs(corpus: DataFrame) -> DataFrame:
-    """``(doc, doc_size, runs)`` where ``runs`` counts each term of the row.
+def term_counts_with_size(corpus: DataFrame) -> DataFrame:
+    """``(doc, term, word_count, doc_size)`` at document grain, without a shuffle.
 
-    Equal terms are neighbours once sorted, so a term's count is the distance
-    between the place where it starts and the place where the next one starts.
-    Each step is a column of its own so that it is computed once.
+    Terms hold no blank, so a text's terms can be sorted and written as one
+    string, each followed by a blank. Equal terms are then neighbours, one
+    regular expression cuts the string into runs of them, and the length of a
+    run tells how many there are. All of it compiles into one stage.
     """
-    placed = (
-        corpus.select("doc", F.sort_array(terms_of("text")).alias("sorted"))
-        .select("doc", "sorted", F.size("sorted").alias("n"))
-        .withColumn(
-            "starts",
-            F.filter(
-                F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("n") - 1)),
-                lambda i: (i == 0) | (F.get("sorted", i) != F.get("sorted", i - 1)),
-            ),
+    sorted_terms = (
+        corpus.select("doc", F.sort_array(terms_of("text")).alias("terms"))
+        .select(
+            "doc",
+            F.size("terms").cast("bigint").alias("doc_size"),
+            F.concat(F.array_join("terms", " "), F.lit(" ")).alias("line"),
         )
     )
-
-    def run(start: Column, i: Column) -> Column:
-        end = F.coalesce(F.get("starts", i + 1), F.col("n"))
-        return F.struct(
-            F.get("sorted", start).alias("term"),
-            (end - start).cast("bigint").alias("word_count"),
-        )
-
-    return placed.select(
+    runs = sorted_terms.select(
         "doc",
-        F.col("n").cast("bigint").alias("doc_size"),
-        F.transform("starts", run).alias("runs"),
-    )
-
-
-def term_counts_with_size(corpus: DataFrame) -> DataFrame:
-    """``(doc, term, word_count, doc_size)`` at document grain, without a shuffle."""
-    return (
-        _runs(corpus)
-        .select("doc", "doc_size", F.inline_outer("runs"))
-        .where("term IS NOT NULL")
-        .select("doc", "term", "word_count", "doc_size")
+        "doc_size",
+        F.explode_outer(F.regexp_extract_all("line", F.lit(_RUN), F.lit(0))).alias("run"),
+    ).where("run IS NOT NULL")
+    term = F.substring_index("run", " ", 1)
+    count = F.octet_length("run") / (F.octet_length(term) + F.lit(1))
+    return runs.select(
+        "doc", term.alias("term"), count.cast("bigint").alias("word_count"), "doc_size"
     )
 
 

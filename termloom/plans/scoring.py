@@ -14,7 +14,7 @@ finds its way to the pairs:
 ``window``
     Totals over salted groups.
 ``join``
-    TF and IDF tables joined on (document, term), IDF by way of posting lists.
+    TF and IDF tables joined on (document, term).
 ``product``
     TF and IDF tables stacked and multiplied per (document, term).
 
@@ -44,7 +44,6 @@ from termloom.operators.counts import (
 )
 from termloom.operators.frequency import doc_freq, doc_freq_of_counts
 from termloom.operators.lookup import attach_by_doc, attach_by_term
-from termloom.operators.postings import explode_postings, postings
 from termloom.operators.tokens import terms_per_row
 from termloom.operators.totals import with_group_total
 from termloom.plans.materialise import checkpointed
@@ -97,10 +96,10 @@ def _counts_with_lookup(
     return attach_by_term(counts, frequency, "num_docs_with_word")
 
 
-def idf_of_pairs(counts: DataFrame, frequency: DataFrame, docs: Column) -> DataFrame:
-    """``(doc, term, idf)``, by building posting lists and opening them again."""
-    lists = postings(counts, frequency)
-    return idf_table(explode_postings(lists), docs).select("doc", "term", "idf")
+def idf_of_pairs(pairs: DataFrame, frequency: DataFrame, docs: Column) -> DataFrame:
+    """``(doc, term, idf)`` for every distinct pair."""
+    held = attach_by_term(pairs.select("doc", "term"), frequency, "num_docs_with_word")
+    return idf_table(held, docs)
 
 
 def score(
@@ -126,7 +125,8 @@ def score(
 
     if strategy in ("join", "product"):
         counts, frequency = counts_and_frequency(corpus, grain)
-        tf_rows, idf_rows = tf_table(counts), idf_of_pairs(counts, frequency, docs)
+        pairs = terms_per_row(corpus) if grain == "document" else counts
+        tf_rows, idf_rows = tf_table(counts), idf_of_pairs(pairs, frequency, docs)
         if strategy == "join":
             return join_values(tf_rows, idf_rows)
         return product_of_values(union_values(tf_rows, idf_rows))
