@@ -72,6 +72,11 @@ def _scores(grain: str, strategy: str):
     return operator
 
 
+def _score_counts(corpus: DataFrame) -> DataFrame:
+    pairs = counts.term_counts_with_size(corpus)
+    return scoring.score_counts(pairs, corpus).select("doc", "term", "tfidf")
+
+
 def _idf(corpus: DataFrame) -> DataFrame:
     return combine.idf_table(frequency.doc_freq(corpus), counts.num_docs(corpus).scalar())
 
@@ -202,6 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tfidf_window": _on_documents(_scores("document", "window")),
         "tf_idf_join": _on_documents(_scores("document", "join")),
         "tfidf_product": _on_documents(_scores("document", "product")),
+        "tfidf_counts": _on_documents(_score_counts),
         "tfidf_lines": _on_conversations(_scores("line", "lookup")),
         "tfidf_lines_window": _on_conversations(_scores("line", "window")),
         "tfidf_gen_corpus": _tfidf_gen_corpus,
@@ -296,6 +302,7 @@ SELECT doc_id, term, round(ln(num_docs::DOUBLE / num_docs_with_word), 10) AS val
 FROM tc JOIN ds USING (doc_id) JOIN df USING (term), n""",
         "tfidf_broadcast": d + scores,
         "tfidf_window": d + scores,
+        "tfidf_counts": d + scores,
         "tf_idf_join": d + scores,
         "tfidf_product": d + scores,
         "tfidf_lines": c + line_scores,

@@ -10,7 +10,7 @@ from termloom.operators.counts import (
 from termloom.operators.frequency import doc_freq, merge_doc_freq, partial_doc_freq
 from termloom.operators.postings import explode_postings, postings
 from termloom.operators.tokens import tokenize, tokens_with_size
-from termloom.plans.scoring import score
+from termloom.plans.scoring import score, score_counts
 from termloom.session import build_session
 from termloom.sinks.report import report, write_report
 from termloom.sources.files import list_documents, read_documents, read_lines
@@ -34,6 +34,7 @@ __all__ = [
     "report",
     "save_stage",
     "score",
+    "score_counts",
     "term_counts",
     "term_counts_with_size",
     "tokenize",

@@ -14,6 +14,12 @@ which the lookup table has anyway, and take another way:
   nothing and differ from row to row, so they spread evenly over the tasks.
 
 Each row is read once, and each key is looked up whole on one of the two ways.
+
+Spark chooses how to run the second join: a sort-merge join, which can spill,
+unless the table turns out to be under its broadcast threshold. With
+``join_hint="shuffle_hash"`` the rows need no sort; each task then holds its
+share of the table in memory, which is small as long as the partition count
+fits the rows, since keys of the table are unique.
 """
 
 from __future__ import annotations
@@ -23,66 +29,85 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 10_000
 HOT_KEY_BYTES = 1_024
+# Number of different keys that rows already served are spread over.
+SPREAD = 1_000_000
+
+
+def _hot_part(table: DataFrame, key: str, weight: str, values: list[str], hot_keys: int) -> DataFrame:
+    """The hot keys of ``table``, fewer than ``hot_keys``, with values named ``hot_*``."""
+    share = table.agg((F.sum(weight) / F.lit(hot_keys)).alias("share")).scalar()
+    # One expression on count and length: a filter on the key alone would be moved
+    # below the count, and the count would no longer be shared with the cold side.
+    short = F.octet_length(F.col(key).cast("string")) <= F.lit(HOT_KEY_BYTES)
+    return table.where(F.when(short, F.col(weight)) > share).select(
+        key, *(F.col(v).alias(f"hot_{v}") for v in values)
+    )
+
+
+def _hinted(table: DataFrame, join_hint: str | None) -> DataFrame:
+    return table.hint(join_hint) if join_hint else table
+
 
+def _lane(spread: str) -> Column:
+    return F.pmod(F.xxhash64(spread), F.lit(SPREAD)).cast("string")
 
-def attach(
+
+def attach_by_term(
     rows: DataFrame,
     table: DataFrame,
-    key: str,
     weight: str,
-    spread: str,
     hot_keys: int = HOT_KEYS,
-    join_hint: str = "shuffle_hash",
-    miss: Column | None = None,
+    join_hint: str | None = None,
 ) -> DataFrame:
-    """Inner join of ``rows`` with ``table`` on ``key``, safe for hot keys.
-
-    ``table`` has one row per key and no NULLs. ``weight`` is its column that
-    bounds the number of ``rows`` of a key. ``spread`` is a column of ``rows``
-    with many values within a hot key.
+    """Inner join of ``rows`` (``doc``, ``term``, ...) with ``table`` on ``term``.
 
-    ``miss`` gives, per row, key values that ``table`` never holds. If there is
-    no such value, leave it out: keys are then compared in a marked text form,
-    which costs a further shuffle of ``table``.
-
-    The default hint saves sorting ``rows``. Keys of ``table`` are unique and
-    no task gets more of them than it gets rows, so the hash tables are small
-    if the partition count fits the rows; ``join_hint="merge"`` needs no such
-    tables.
+    ``table`` has one row per term and no NULLs; ``weight`` is its column that
+    bounds the number of ``rows`` of a term.
     """
-    values = [c for c in table.columns if c != key]
-    share = table.agg((F.sum(weight) / F.lit(hot_keys)).alias("share")).scalar()
-    # One expression on count and length: a filter on the key alone would be moved
-    # below the count, and the count would no longer be shared with the cold side.
-    short = F.octet_length(F.col(key).cast("string")) <= F.lit(HOT_KEY_BYTES)
-    hot = table.where(F.when(short, F.col(weight)) > share).select(
-        key, *(F.col(v).alias(f"hot_{v}") for v in values)
+    values = [c for c in table.columns if c != "term"]
+    served = F.col(f"hot_{values[0]}").isNotNull()
+    # No term holds a blank, so a key that starts with one matches nothing. A cold
+    # row's term is its key and needs no second copy in the shuffle.
+    lane = F.concat(F.lit(" "), _lane("doc"))
+    keyed = (
+        rows.join(F.broadcast(_hot_part(table, "term", weight, values, hot_keys)), "term", "left")
+        .withColumn("probe", F.when(served, lane).otherwise(F.col("term")))
+        .withColumn("term", F.when(served, F.col("term")))
     )
-
-    if miss is None:
-        # concat_ws is never NULL, so the join puts no filter on it below the count.
-        known = F.concat_ws("=", F.lit(""), F.col(key).cast("string"))
-        miss = F.concat_ws("#", F.lit(""), F.xxhash64(spread).cast("string"))
-    else:
-        known = F.col(key)
-    cold = table.select(known.alias("probe"), *(F.col(v).alias(f"cold_{v}") for v in values))
-
-    unserved = F.col(f"hot_{values[0]}").isNull()
-    joined = (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("probe", F.when(unserved, known).otherwise(miss))
-        .join(cold.hint(join_hint), "probe", "left")
+    cold = table.select(
+        F.col("term").alias("probe"), *(F.col(v).alias(f"cold_{v}") for v in values)
     )
-    found = [F.coalesce(f"hot_{v}", f"cold_{v}").alias(v) for v in values]
-    return joined.select(*rows.columns, *found).where(F.col(values[0]).isNotNull())
-
+    joined = keyed.join(_hinted(cold, join_hint), "probe", "left").withColumn(
+        "term", F.coalesce("term", "probe")
+    )
+    return _found(joined, rows.columns, values)
 
-def attach_by_term(rows: DataFrame, table: DataFrame, weight: str, **options) -> DataFrame:
-    """``attach`` on ``term``: no term holds a blank, so a blank marks a miss."""
-    miss = F.concat(F.lit(" "), F.xxhash64("doc").cast("string"))
-    return attach(rows, table, "term", weight, "doc", miss=miss, **options)
 
+def attach_by_doc(
+    rows: DataFrame,
+    table: DataFrame,
+    weight: str,
+    hot_keys: int = HOT_KEYS,
+    join_hint: str | None = None,
+) -> DataFrame:
+    """The same on ``doc``, for documents that may hold any share of the rows.
 
-def attach_by_doc(rows: DataFrame, table: DataFrame, weight: str, **options) -> DataFrame:
-    """``attach`` on ``doc``, for documents that may hold any share of the rows."""
-    return attach(rows, table, "doc", weight, "term", **options)
+    A document may have any name or number, so keys are compared in a marked
+    text form: ``=`` and the document, or ``#`` and a number for served rows.
+    """
+    values = [c for c in table.columns if c != "doc"]
+    # concat_ws is never NULL, so the join puts no filter on it below the count.
+    key = F.concat_ws("=", F.lit(""), F.col("doc").cast("string"))
+    lane = F.concat_ws("#", F.lit(""), _lane("term"))
+    served = F.col(f"hot_{values[0]}").isNotNull()
+    keyed = rows.join(
+        F.broadcast(_hot_part(table, "doc", weight, values, hot_keys)), "doc", "left"
+    ).withColumn("probe", F.when(served, lane).otherwise(key))
+    cold = table.select(key.alias("probe"), *(F.col(v).alias(f"cold_{v}") for v in values))
+    joined = keyed.join(_hinted(cold, join_hint), "probe", "left")
+    return _found(joined, rows.columns, values)
+
+
+def _found(joined: DataFrame, columns: list[str], values: list[str]) -> DataFrame:
+    found = [F.coalesce(f"hot_{v}", f"cold_{v}").alias(v) for v in values]
+    return joined.select(*columns, *found).where(F.col(values[0]).isNotNull())

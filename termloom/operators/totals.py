@@ -42,4 +42,4 @@ def with_group_total(
         group, "slice", F.sum("slice_sum").over(Window.partitionBy(group)).alias(name)
     )
     sliced = rows.select("*", slice_of)
-    return sliced.join(totals.hint("shuffle_hash"), [group, "slice"]).select(*rows.columns, name)
+    return sliced.join(totals, [group, "slice"]).select(*rows.columns, name)

@@ -135,15 +135,30 @@ def score(
         matched = counts_with_totals(corpus, grain)
     else:
         matched = _counts_with_lookup(corpus, grain, strategy, max_broadcast_bytes)
-    record = matched.withColumn("num_docs", docs)
-    return record.select(
+    return _scored(matched, docs)
+
+
+def score_counts(counts: DataFrame, documents: DataFrame) -> DataFrame:
+    """Score saved counts: ``(doc, term, word_count, doc_size)``, as ``score`` does.
+
+    For jobs that write ``term_counts_with_size`` once and read it again, so that
+    texts are cut into terms once only. ``documents`` has one row per document,
+    those without terms too.
+    """
+    matched = attach_by_term(counts, doc_freq_of_counts(counts), "num_docs_with_word")
+    return _scored(matched, num_docs(documents).scalar())
+
+
+def _scored(matched: DataFrame, docs: Column) -> DataFrame:
+    weight = tfidf(
+        F.col("word_count"), F.col("doc_size"), F.col("num_docs"), F.col("num_docs_with_word")
+    )
+    return matched.withColumn("num_docs", docs).select(
         "doc",
         "term",
         "word_count",
         "doc_size",
         "num_docs",
         "num_docs_with_word",
-        tfidf(
-            F.col("word_count"), F.col("doc_size"), F.col("num_docs"), F.col("num_docs_with_word")
-        ).alias("tfidf"),
+        weight.alias("tfidf"),
     )

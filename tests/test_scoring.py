@@ -59,7 +59,7 @@ def test_case_and_punctuation_are_kept(corpus):
 
 
 def test_no_break_space_does_not_separate(corpus):
-    assert [r.term for r in tokenize(corpus({"d": "a b"})).collect()] == ["a b"]
+    assert [r.term for r in tokenize(corpus({"d": "a\u00a0b"})).collect()] == ["a\u00a0b"]
 
 
 def test_null_text_is_an_empty_document(corpus):
@@ -103,8 +103,8 @@ def test_unknown_arguments_are_refused(corpus):
 def random_corpus(seed: int) -> list[tuple[str, str]]:
     """Texts of odd characters, with very common, rare, prefix-sharing and long terms."""
     draw = random.Random(seed)
-    words = ["a", "ab", "abc", "A", "@", "a@b", "a=1", "n/m", ",", "é", "é", "\U0001f600"]
-    words += ["\x01", "\x1c", "$1", "\\1", "\\", "(", "[^ ]+", '"', "'", " ", "x" * 3000]
+    words = ["a", "ab", "abc", "A", "@", "a@b", "a=1", "n/m", ",", "\u00e9", "e\u0301", "\U0001f600"]
+    words += ["\x01", "\x1c", "$1", "\\1", "\\", "(", "[^ ]+", '"', "'", "\u2028", "x" * 3000]
     gaps = [" ", "  ", "\t", "\n", "\x0b", "\f", "\r\n", " \n\t "]
     rows = []
     for i in range(60):

@@ -83,7 +83,7 @@ def test_over_long_hot_key_takes_the_shuffled_way(spark):
 def test_rows_without_a_key_in_the_table_are_dropped(spark):
     rows = spark.createDataFrame([("1", "a"), ("2", "b")], "doc string, term string")
     table = spark.createDataFrame([("a", 5)], "term string, n bigint")
-    for hint in ("shuffle_hash", "merge"):
+    for hint in ("shuffle_hash", "merge", "broadcast"):
         assert [tuple(r) for r in attach_by_term(rows, table, "n", join_hint=hint).collect()] == [
             ("1", "a", 5)
         ]
