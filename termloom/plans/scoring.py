@@ -56,12 +56,14 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_BYTES = 64
 
 
-def counts_and_frequency(corpus: DataFrame, grain: str) -> tuple[DataFrame, DataFrame]:
+def counts_and_frequency(
+    corpus: DataFrame, grain: str, join_hint: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """``(doc, term, word_count, doc_size)`` and ``(term, num_docs_with_word)``."""
     if grain == "document":
         return term_counts_with_size(corpus), doc_freq(corpus)
     counts = term_counts(corpus, grain)
-    sized = attach_by_doc(counts, sizes_of_counts(counts), "doc_size")
+    sized = attach_by_doc(counts, sizes_of_counts(counts), "doc_size", join_hint=join_hint)
     return sized, doc_freq_of_counts(counts)
 
 
@@ -85,15 +87,15 @@ def fits_broadcast(frequency: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bo
 
 
 def _counts_with_lookup(
-    corpus: DataFrame, grain: str, strategy: str, max_bytes: int
+    corpus: DataFrame, grain: str, strategy: str, max_bytes: int, join_hint: str | None
 ) -> DataFrame:
     """The columns of ``counts_with_totals``, by a lookup of the frequencies."""
-    counts, frequency = counts_and_frequency(corpus, grain)
+    counts, frequency = counts_and_frequency(corpus, grain, join_hint)
     if strategy == "broadcast":
         frequency = checkpointed(frequency)
         if fits_broadcast(frequency, max_bytes):
             return counts.join(F.broadcast(frequency), "term")
-    return attach_by_term(counts, frequency, "num_docs_with_word")
+    return attach_by_term(counts, frequency, "num_docs_with_word", join_hint=join_hint)
 
 
 def idf_of_pairs(pairs: DataFrame, frequency: DataFrame, docs: Column) -> DataFrame:
@@ -108,11 +110,14 @@ def score(
     strategy: str = "lookup",
     documents: DataFrame | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    join_hint: str | None = None,
 ) -> DataFrame:
     """Score a corpus of ``(doc, text)``; see the module's text for strategies.
 
     ``documents`` is a table with one row per document, if there is one that is
     cheaper to count than the corpus (``list_documents`` for files).
+    ``join_hint`` is a Spark join hint for the shuffled lookups; see
+    ``termloom.operators.lookup`` for when ``"shuffle_hash"`` fits.
 
     Columns: ``doc, term, word_count, doc_size, num_docs, num_docs_with_word,
     tfidf``. Terms that are in every document score 0 and are kept.
@@ -134,7 +139,9 @@ def score(
     if strategy == "window":
         matched = counts_with_totals(corpus, grain)
     else:
-        matched = _counts_with_lookup(corpus, grain, strategy, max_broadcast_bytes)
+        matched = _counts_with_lookup(
+            corpus, grain, strategy, max_broadcast_bytes, join_hint
+        )
     return _scored(matched, docs)
 
 

@@ -127,6 +127,13 @@ def test_random_lines(corpus):
         assert_scores(score(corpus(rows), "line", strategy), rows)
 
 
+@pytest.mark.parametrize("hint", ["shuffle_hash", "merge"])
+def test_join_hints(corpus, hint):
+    rows = random_corpus(17)
+    for grain in GRAINS:
+        assert_scores(score(corpus(rows), grain, join_hint=hint), rows)
+
+
 def test_broadcast_gives_way_to_lookup(corpus):
     rows = random_corpus(13)
     scored = score(corpus(rows), strategy="broadcast", max_broadcast_bytes=10)
