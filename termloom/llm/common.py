@@ -125,6 +125,16 @@ def add_columns(
     return map_arrow(docs, run, schema)
 
 
+def rows_where(docs: DataFrame, inputs: list[str], operator: Callable, condition: str) -> DataFrame:
+    """The rows of ``docs`` for which ``operator``'s result holds; all columns as they were.
+
+    Columns that ``operator`` does not read are set aside under other names meanwhile.
+    """
+    inside = {c: c if c in inputs else f"_own_{k}" for k, c in enumerate(docs.columns)}
+    marked = operator(docs.select(*(column(c).alias(n) for c, n in inside.items())))
+    return marked.where(condition).select(*(F.col(n).alias(c) for c, n in inside.items()))
+
+
 def arrow_type(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.ArrayType):
         return pa.list_(arrow_type(kind.elementType))
