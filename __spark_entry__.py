@@ -26,6 +26,12 @@ from termloom.sources.files import names_from_paths  # noqa: E402
 from termloom.sources.synthetic import synthetic_corpus, synthetic_words  # noqa: E402
 from termloom.sources.tables import corpus_from, widen  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from termloom.llm import queries as llm
+except ImportError:  # the subpackage is an option
+    corpus_pipeline = llm = None
+
 SMALL_BLOCK = 100
 WORKERS = 4
 
@@ -171,6 +177,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _statistics() | ({"pipeline": corpus_pipeline.run} | llm.queries() if llm else {})
+
+
+def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # sources and projections
         "num_docs": _on_documents(counts.num_docs),
@@ -255,6 +265,10 @@ def _postings_sql(block_size: int, docs: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _statistics_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _statistics_sql() -> dict[str, str]:
     d = _steps("documents", "doc_id")
     c = _steps("conversations", "conv_id")
     scores = f"SELECT doc_id, term, round({_TFIDF}, 10) AS tfidf FROM tc JOIN ds USING (doc_id) JOIN df USING (term), n"

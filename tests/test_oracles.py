@@ -7,8 +7,8 @@ from oracle import compare, connect
 
 import __spark_entry__ as spark_entry
 
-QUERIES = spark_entry.queries()
-SQL = spark_entry.oracle_sql()
+QUERIES = spark_entry._statistics()
+SQL = spark_entry._statistics_sql()
 
 
 @pytest.fixture(scope="module")
