@@ -160,10 +160,10 @@ s AS (
   FROM d, unnest(range(1, len(words) - least(len(words), 3) + 2)) AS t(p) WHERE len(words) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 x AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
   FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
 l AS (
-  SELECT a, b FROM x JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * both >= 85 * (p.n + q.n - both)),
+  SELECT a, b FROM x JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r(doc_id, reached) AS (
   SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached),
