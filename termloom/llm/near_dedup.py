@@ -3,10 +3,10 @@
 1. A document's set is its distinct word shingles, as 64-bit hashes. Documents of
    equal sets form a class at once, so copies never meet in pairs.
 2. A class has a MinHash signature. Its bands put classes into buckets.
-3. In each bucket all members are compared with the smallest one, and then with
-   the smallest of those not yet in its component. This joins large groups of near
-   copies by as many pairs as they have members. What then still lies in different
-   components of one bucket is compared in blocks of bounded size.
+3. In each bucket all members are compared with the smallest one. This joins most
+   near copies by as many pairs as there are members. What then still lies in
+   different components of one bucket is compared in blocks of bounded size, in
+   which pairs are neither written out nor compared once links have joined them.
 4. A pair's signatures are compared batch by batch. After each batch the pair is
    dropped if, given the matches so far, the posterior probability of a similarity
    at the threshold is below ``miss``.
@@ -48,9 +48,7 @@ HASHES = BAND * BANDS
 BATCH = 25
 MISS = 1e-6
 # Largest block of a bucket that is compared within one task.
-SLICE = 1024
-# Times that a bucket is compared with one of its members before it is cut into blocks.
-STARS = 2
+SLICE = 512
 
 _RANDOM = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _A, _B = _RANDOM[:HASHES] | np.uint64(1), _RANDOM[HASHES:]
@@ -176,16 +174,16 @@ def _buckets(classes: DataFrame) -> DataFrame:
     keys = [
         F.xxhash64(F.lit(k), F.substring("signature", k * width + 1, width)) for k in range(BANDS)
     ]
-    rows = classes.select("rep", F.explode(F.array(*keys)).alias("bucket"))
+    rows = classes.select("rep", F.posexplode(F.array(*keys)).alias("band", "bucket"))
     full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    return saved(rows.join(full, "bucket").select("bucket", "rep"))
+    return saved(rows.join(full, "bucket").select("bucket", "band", "rep"))
 
 
 def _labelled(buckets: DataFrame, links: DataFrame) -> DataFrame:
     """Members of the buckets that lie in two components or more, with ``component``."""
     found = components(links).withColumnRenamed("node", "rep")
     rows = buckets.join(found, "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("component")
+        "bucket", "band", "rep", F.coalesce("component", "rep").alias("component")
     )
     open_ = rows.groupBy("bucket").agg(
         F.min("component").alias("first"), F.max("component").alias("last")
@@ -200,12 +198,49 @@ def _star(members: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select("a", "b").dropDuplicates()
 
 
-def _blocks(members: DataFrame, classes: DataFrame, bounds) -> DataFrame:
-    """Pairs of a bucket that lie in different components and that signatures allow.
+class _Sets:
+    """Members of a block: sets are made when first asked for, links found are joined."""
+
+    def __init__(self, block: pa.Table, size: int):
+        self.texts, self.size = block["text"].combine_chunks(), size
+        self.sets: dict[int, np.ndarray] = {}
+        self.nodes = block["component"].to_pylist()
+        self.above: dict[int, int] = {}
+
+    def root(self, node):
+        while (up := self.above.get(node, node)) != node:
+            self.above[node] = self.above.get(up, up)
+            node = up
+        return node
+
+    def of(self, i: int) -> np.ndarray:
+        if i not in self.sets:
+            (hashes, *_), = word_rows(self.texts.slice(i, 1), NOT_BLANK)
+            self.sets[i] = set_of(hashes, self.size)
+        return self.sets[i]
+
+    def link(self, i: int, k: int, percent: int) -> bool:
+        """Whether a new link joins two components that the block has not joined yet."""
+        a, b = self.root(self.nodes[i]), self.root(self.nodes[k])
+        if a == b:
+            return False
+        left, right = self.of(i), self.of(k)
+        both = len(np.intersect1d(left, right, assume_unique=True))
+        if 100 * both < percent * (len(left) + len(right) - both):
+            return False
+        self.above[a] = b
+        return True
+
+
+def _blocks(members: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int, bounds) -> DataFrame:
+    """Links between members of a bucket that lie in different components.
 
     ``members`` has ``first``, the bucket's first component. Those outside of it
     are compared with all: cut into slices, each slice of them with each slice of
-    the bucket.
+    the bucket. A pair is compared in the first band that it shares. Pairs are
+    confirmed where they are found, and left out where a link found before has
+    joined their components already, so that no more links come out than members
+    go in.
     """
     outside = F.when(F.col("component") != F.col("first"), 1)
     sizes = members.groupBy("bucket").agg(
@@ -214,62 +249,64 @@ def _blocks(members: DataFrame, classes: DataFrame, bounds) -> DataFrame:
     )
     rows = members.join(sizes, "bucket").withColumn("hash", F.xxhash64("rep"))
     left = rows.where("component <> first").select(
-        "bucket", "rep", "component", F.lit(True).alias("out"),
+        "bucket", "band", "rep", "component", F.lit(True).alias("out"),
         F.pmod("hash", "out_slices").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("all_slices") - 1)).alias("j"),
     )
     right = rows.select(
-        "bucket", "rep", "component", F.lit(False).alias("out"),
+        "bucket", "band", "rep", "component", F.lit(False).alias("out"),
         F.explode(F.sequence(F.lit(0), F.col("out_slices") - 1)).alias("i"),
         F.pmod("hash", "all_slices").alias("j"),
     )
     dealt = left.union(right).select(
-        F.xxhash64("bucket", "i", "j").alias("block"), "rep", "component", "out"
+        F.xxhash64("bucket", "i", "j").alias("block"), "band", "rep", "component", "out"
     )
     blocks = (
-        dealt.join(classes.select("rep", "signature"), "rep")
+        dealt.join(classes.select("rep", "signature"), "rep").join(texts, "rep")
         .repartition("block")
         .sortWithinPartitions("block", "out", "rep")
-        .select("block", "rep", "component", "out", "signature")
+        .select("block", "band", "rep", "component", "out", "signature", "text")
     )
 
-    def compare(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def compare(block: pa.Table):
         reps, comps = block["rep"].to_numpy(), block["component"].to_numpy()
         out = block["out"].to_numpy(zero_copy_only=False)
-        signs = _matrix(block["signature"])
+        signs, band = _matrix(block["signature"]), block["band"][0].as_py()
         mine, theirs = np.flatnonzero(out), np.flatnonzero(~out)
-        a, b = [], []
+        sets = _Sets(block, size)
         for i in mine:
-            other = theirs[(comps[theirs] != comps[i])]
-            if len(other):
-                keep = plausible(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], bounds)
-                a.append(np.full(len(keep), reps[i]))
-                b.append(reps[other[keep]])
-        if not a:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        a, b = np.concatenate(a), np.concatenate(b)
-        return np.minimum(a, b), np.maximum(a, b)
+            other = theirs[comps[theirs] != comps[i]]
+            if not len(other):
+                continue
+            keep = plausible(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], bounds)
+            other = other[keep]
+            shared = (signs[other] == signs[i]).reshape(-1, BANDS, BAND).all(axis=2)
+            for k in other[shared.argmax(axis=1) == band].tolist():
+                if sets.link(int(i), k, percent):
+                    yield int(reps[i]), int(reps[k])
+
+    def found(table, ends):
+        at = 0
+        for end in ends:
+            links = list(compare(table.slice(at, end - at)))
+            at = end
+            if links:
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def run(batches):
         rest = None
-        def pairs(table, ends):
-            at = 0
-            for end in ends:
-                a, b = compare(table.slice(at, end - at))
-                at = end
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if rest is None else pa.concat_tables([rest, table])
             keys = table["block"].to_numpy()
             ends = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            yield from pairs(table, ends)
-            rest = table.slice(ends[-1] if len(ends) else 0).combine_chunks()
+            yield from found(table, ends)
+            rest = table.slice(ends[-1] if len(ends) else 0)
         if rest is not None and len(rest):
-            yield from pairs(rest, [len(rest)])
+            yield from found(rest, [len(rest)])
 
-    return map_arrow(blocks, run, "a bigint, b bigint").dropDuplicates()
+    return map_arrow(blocks, run, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -301,23 +338,11 @@ def near_duplicates(
 
     tested = _star(buckets)
     links = saved(_linked(_plausible_pairs(tested, met, bounds), texts, size, percent))
-    for _ in range(STARS - 1):
-        members = _labelled(buckets, links)
-        # A pair of members was compared already.
-        some = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 2")
-        members = members.join(some.select("bucket"), "bucket", "left_semi")
-        outer = members.where("component <> first")
-        hubs = outer.groupBy("bucket").agg(F.min("rep").alias("a"))
-        pairs = members.join(hubs, "bucket").where("rep <> a")
-        pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-        pairs = pairs.dropDuplicates()
-        found = saved(_linked(_plausible_pairs(pairs, met, bounds), texts, size, percent))
-        links = links.union(found)
     members = _labelled(buckets, links)
+    # Two members were compared already.
     some = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 2")
     members = members.join(some.select("bucket"), "bucket", "left_semi")
-    pairs = _blocks(members, met, bounds)
-    links = saved(links.union(_linked(pairs, texts, size, percent)))
+    links = saved(links.union(_blocks(members, met, texts, size, percent, bounds)))
 
     # A document with several texts stands in several classes.
     found = components(links).select(F.col("node").alias("rep"), "component")
