@@ -23,7 +23,6 @@ from termloom.operators.lookup import attach_by_doc  # noqa: E402
 from termloom.plans import scoring  # noqa: E402
 from termloom.sinks.report import report  # noqa: E402
 from termloom.sources.files import names_from_paths  # noqa: E402
-from termloom.sources.synthetic import synthetic_corpus, synthetic_words  # noqa: E402
 from termloom.sources.tables import corpus_from, widen  # noqa: E402
 
 try:
@@ -39,13 +38,26 @@ WORKERS = 4
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document grain: one row per document."""
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return widen(corpus_from(table, "doc_id", "text"), "doc")
+    return widen(corpus_from(table, "doc_id", "text"), _cores(spark), "doc")
 
 
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line grain: one row per turn, the document is the conversation."""
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return widen(corpus_from(table, "conv_id", "text"))
+    return widen(corpus_from(table, "conv_id", "text"), _cores(spark))
+
+
+def _cores(spark: SparkSession) -> int:
+    """The given tables are single small files, which would be cut into terms by one task."""
+    return spark.sparkContext.defaultParallelism
+
+
+def _num_docs(name: str, doc: str, grain: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return counts.num_docs(corpus_from(table, doc, "text"), grain)
+
+    return query
 
 
 def _round(table: DataFrame) -> DataFrame:
@@ -121,6 +133,20 @@ def _postings_packed(corpus: DataFrame) -> DataFrame:
     return _postings(lists.BLOCK_SIZE)(corpus).select("term", "block", packed.alias("packed"))
 
 
+def _postings_unpack(corpus: DataFrame) -> DataFrame:
+    """Rows out of packed posting lists."""
+    listed = _postings_packed(corpus).select("term", F.explode(keys.postings_docs(F.col("packed"))).alias("doc"))
+    return listed.select("term", F.col("doc").try_cast("bigint").alias("doc"))
+
+
+def _doc_freq_merge_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequency tables of two corpora, each made in one pass, stacked and added up."""
+    documents, lines = _documents(spark, sf_dir), _conversations(spark, sf_dir)
+    return frequency.merge_doc_freq(
+        frequency.doc_freq(documents), frequency.doc_freq(lines, "line")
+    )
+
+
 def _postings_explode(corpus: DataFrame) -> DataFrame:
     return lists.explode_postings(_postings(lists.BLOCK_SIZE)(corpus)).select("term", "doc")
 
@@ -155,22 +181,6 @@ def _doc_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names_from_paths(pages, "url").select("page_id", "doc_name")
 
 
-def _document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return widen(table.select(F.col("doc_id").alias("doc")), "doc")
-
-
-def _gen_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A generated document for every document of the table."""
-    return synthetic_words(_document_ids(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
-
-
-def _tfidf_gen_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference workload: scores of the generated corpus."""
-    corpus = synthetic_corpus(_document_ids(spark, sf_dir))
-    return _round(_scores("document", "lookup")(corpus)).withColumnRenamed("doc", "doc_id")
-
-
 def entry(spark: SparkSession) -> DataFrame:
     """tfidf of every (document, term) pair of the documents table."""
     return queries()["tfidf"](spark, "/root/testdata/sf0.001")
@@ -183,10 +193,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # sources and projections
-        "num_docs": _on_documents(counts.num_docs),
-        "num_docs_lines": _on_conversations(lambda c: counts.num_docs(c, "line")),
+        "num_docs": _num_docs("documents", "doc_id", "document"),
+        "num_docs_lines": _num_docs("conversations", "conv_id", "line"),
         "doc_name": _doc_name,
-        "gen_corpus": _gen_corpus,
         "tokenize": _on_documents(tk.tokenize),
         "tokens_with_size": _on_documents(tk.tokens_with_size),
         # aggregates and group totals
@@ -202,10 +211,12 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "doc_freq_lines": _on_conversations(lambda c: frequency.doc_freq(c, "line")),
         "doc_freq_by_worker": _on_documents(_doc_freq_by_worker),
         "doc_freq_merge": _on_documents(_doc_freq_merge),
+        "doc_freq_merge_corpora": _doc_freq_merge_corpora,
         "postings": _on_documents(_postings(lists.BLOCK_SIZE)),
         "postings_blocks": _on_documents(_postings(SMALL_BLOCK)),
         "postings_packed": _on_documents(_postings_packed),
         "postings_explode": _on_documents(_postings_explode),
+        "postings_unpack": _on_documents(_postings_unpack),
         # weights
         "tf": _on_documents(_tf),
         "idf": _on_documents(_idf),
@@ -220,7 +231,6 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tfidf_counts": _on_documents(_score_counts),
         "tfidf_lines": _on_conversations(_scores("line", "lookup")),
         "tfidf_lines_window": _on_conversations(_scores("line", "window")),
-        "tfidf_gen_corpus": _tfidf_gen_corpus,
         # text forms
         "tfidf_report": lambda spark, sf_dir: report(
             scoring.score(_documents(spark, sf_dir))
@@ -240,11 +250,6 @@ n AS (SELECT count(DISTINCT {doc}) AS num_docs FROM {table})
 """
 
 
-_WORDS = """substring(md5('42-' || doc_id || '-' || r || '-' || c), 1, [5, 6, 7, 8, 5][c + 1])"""
-_GENERATED = f"""WITH words AS (
-  SELECT doc_id, r AS row, c AS col, {_WORDS} AS word
-  FROM documents, (SELECT unnest(range(50))::INTEGER AS r), (SELECT unnest(range(5))::INTEGER AS c)),
-"""
 _TFIDF = "(word_count::DOUBLE / doc_size) * ln(num_docs::DOUBLE / num_docs_with_word)"
 
 
@@ -279,7 +284,6 @@ def _statistics_sql() -> dict[str, str]:
         "num_docs": "SELECT count(*) AS num_docs FROM documents",
         "num_docs_lines": "SELECT count(DISTINCT conv_id) AS num_docs FROM conversations",
         "doc_name": "SELECT page_id, list_extract(string_split(url, '/'), -1) AS doc_name FROM pages",
-        "gen_corpus": _GENERATED.rstrip(",\n") + " SELECT * FROM words",
         "tokenize": d + "SELECT doc_id, term FROM tk",
         "tokens_with_size": d + "SELECT doc_id, term, doc_size FROM tk JOIN ds USING (doc_id)",
         "term_counts": d + "SELECT doc_id, term, word_count FROM tc",
@@ -302,6 +306,10 @@ def _statistics_sql() -> dict[str, str]:
         "postings_blocks": _postings_sql(SMALL_BLOCK, count_and_docs),
         "postings_packed": _postings_sql(lists.BLOCK_SIZE, packed),
         "postings_explode": d + "SELECT term, doc_id FROM tc",
+        "postings_unpack": d + "SELECT term, doc_id FROM tc",
+        "doc_freq_merge_corpora": "SELECT term, CAST(sum(n) AS BIGINT) AS num_docs_with_word FROM ("
+        + f"({d} SELECT term, num_docs_with_word AS n FROM df) UNION ALL ({c} SELECT term, num_docs_with_word FROM df)"
+        + ") GROUP BY term",
         "tf": d
         + "SELECT doc_id, term, round(word_count::DOUBLE / doc_size, 10) AS tf FROM tc JOIN ds USING (doc_id)",
         "idf": d
@@ -321,10 +329,6 @@ FROM tc JOIN ds USING (doc_id) JOIN df USING (term), n""",
         "tfidf_product": d + scores,
         "tfidf_lines": c + line_scores,
         "tfidf_lines_window": c + line_scores,
-        "tfidf_gen_corpus": _GENERATED
-        + "tk AS (SELECT doc_id, word AS term FROM words),"
-        + d.split("FROM documents),", 1)[1]
-        + scores,
         "tfidf_report": d
         + f"""SELECT doc_id || '@' || term AS key, printf('%.10f', {_TFIDF}) AS value_text
 FROM tc JOIN ds USING (doc_id) JOIN df USING (term), n""",

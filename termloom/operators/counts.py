@@ -29,10 +29,11 @@ def check_grain(grain: str) -> None:
 def num_docs(corpus: DataFrame, grain: str = "document") -> DataFrame:
     """One row, ``num_docs``: documents of the corpus, those without terms too.
 
-    Counts the corpus and not the terms, so only the ``doc`` column is read.
+    Counts the corpus and not the terms, so only the ``doc`` column is read. Rows
+    without a document are not counted.
     """
     check_grain(grain)
-    docs = F.count("*") if grain == "document" else F.count_distinct("doc")
+    docs = F.count("doc") if grain == "document" else F.count_distinct("doc")
     return corpus.agg(docs.alias("num_docs"))
 
 

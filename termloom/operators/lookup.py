@@ -7,9 +7,9 @@ which the lookup table has anyway, and take another way:
 
 * A key whose count is over 1/HOT_KEYS of the total is hot. Counts add up to
   the total, so there are fewer than HOT_KEYS hot keys, at any data size; a hot
-  key may have at most HOT_KEY_BYTES, so the hot part of the table is bounded
-  in bytes too. It is broadcast.
-* All other keys, over-long ones included, are looked up by a shuffled join.
+  key beyond HOT_KEY_BYTES stands there as its digest, so the hot part of the
+  table is bounded in bytes too. It is broadcast.
+* All other keys are looked up by a shuffled join.
   Rows already served by the broadcast pass through it under keys that match
   nothing and differ from row to row, so they spread evenly over the tasks.
 
@@ -36,14 +36,27 @@ SPREAD = 1_000_000
 def _hot_part(table: DataFrame, key: str, weight: str, values: list[str], hot_keys: int) -> DataFrame:
     """The hot keys of ``table``, fewer than ``hot_keys``, with values named ``hot_*``."""
     share = table.agg((F.sum(weight) / F.lit(hot_keys)).alias("share")).scalar()
-    # One expression on count and length: a filter on the key alone would be moved
-    # below the count, and the count would no longer be shared with the cold side.
-    short = F.octet_length(F.col(key).cast("string")) <= F.lit(HOT_KEY_BYTES)
-    return table.where(F.when(short, F.col(weight)) > share).select(
-        key, *(F.col(v).alias(f"hot_{v}") for v in values)
+    return table.where(F.col(weight) > share).select(
+        _brief(key).alias("hot_key"), *(F.col(v).alias(f"hot_{v}") for v in values)
     )
 
 
+def _brief(key: str) -> Column:
+    """A key as marked text, a long one as its digest after a blank, which no term begins with.
+
+    It is never NULL, so the join puts no filter on it below the count, and both
+    sides of the lookup share the count.
+    """
+    text = F.col(key).cast("string")
+    long = F.concat(F.lit(" "), F.sha2(text, 256))
+    short = F.coalesce(F.octet_length(text), F.lit(0)) <= F.lit(HOT_KEY_BYTES)
+    return F.concat_ws("=", F.lit(""), F.when(short, text).otherwise(long))
+
+
+def _with_hot(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    return rows.join(F.broadcast(hot), _brief(key) == F.col("hot_key"), "left").drop("hot_key")
+
+
 def _hinted(table: DataFrame, join_hint: str | None) -> DataFrame:
     return table.hint(join_hint) if join_hint else table
 
@@ -70,7 +83,7 @@ def attach_by_term(
     # row's term is its key and needs no second copy in the shuffle.
     lane = F.concat(F.lit(" "), _lane("doc"))
     keyed = (
-        rows.join(F.broadcast(_hot_part(table, "term", weight, values, hot_keys)), "term", "left")
+        _with_hot(rows, _hot_part(table, "term", weight, values, hot_keys), "term")
         .withColumn("probe", F.when(served, lane).otherwise(F.col("term")))
         .withColumn("term", F.when(served, F.col("term")))
     )
@@ -100,8 +113,8 @@ def attach_by_doc(
     key = F.concat_ws("=", F.lit(""), F.col("doc").cast("string"))
     lane = F.concat_ws("#", F.lit(""), _lane("term"))
     served = F.col(f"hot_{values[0]}").isNotNull()
-    keyed = rows.join(
-        F.broadcast(_hot_part(table, "doc", weight, values, hot_keys)), "doc", "left"
+    keyed = _with_hot(
+        rows, _hot_part(table, "doc", weight, values, hot_keys), "doc"
     ).withColumn("probe", F.when(served, lane).otherwise(key))
     cold = table.select(key.alias("probe"), *(F.col(v).alias(f"cold_{v}") for v in values))
     joined = keyed.join(_hinted(cold, join_hint), "probe", "left")

@@ -8,9 +8,9 @@ finds its way to the pairs:
 ``lookup`` (default)
     Shuffled lookup with the hot terms broadcast. One shuffle of the pairs.
 ``broadcast``
-    The whole vocabulary broadcast if its measured size allows, else ``lookup``.
-    No shuffle of the pairs. Writes the frequencies to the checkpoint folder
-    first, so it runs a job when called.
+    The whole vocabulary broadcast; no shuffle of the pairs. Its size is measured
+    first, by a job that runs when this is called, and a vocabulary that is too
+    large is refused.
 ``window``
     Totals over salted groups.
 ``join``
@@ -46,7 +46,6 @@ from termloom.operators.frequency import doc_freq, doc_freq_of_counts
 from termloom.operators.lookup import attach_by_doc, attach_by_term
 from termloom.operators.tokens import terms_per_row
 from termloom.operators.totals import with_group_total
-from termloom.plans.materialise import checkpointed
 
 STRATEGIES = ("lookup", "broadcast", "window", "join", "product")
 
@@ -56,6 +55,13 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_BYTES = 64
 
 
+def check_unique(corpus: DataFrame) -> None:
+    """Refuse a corpus in which a document has more than one row. Runs a job."""
+    twice = corpus.groupBy("doc").count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"document {twice.doc!r} has {twice['count']} rows; use grain='line'")
+
+
 def counts_and_frequency(
     corpus: DataFrame, grain: str, join_hint: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -92,9 +98,9 @@ def _counts_with_lookup(
     """The columns of ``counts_with_totals``, by a lookup of the frequencies."""
     counts, frequency = counts_and_frequency(corpus, grain, join_hint)
     if strategy == "broadcast":
-        frequency = checkpointed(frequency)
-        if fits_broadcast(frequency, max_bytes):
-            return counts.join(F.broadcast(frequency), "term")
+        if not fits_broadcast(frequency, max_bytes):
+            raise ValueError(f"the vocabulary takes more than {max_bytes} bytes; use 'lookup'")
+        return counts.join(F.broadcast(frequency), "term")
     return attach_by_term(counts, frequency, "num_docs_with_word", join_hint=join_hint)
 
 
@@ -111,9 +117,14 @@ def score(
     documents: DataFrame | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
     join_hint: str | None = None,
+    check: bool = False,
 ) -> DataFrame:
     """Score a corpus of ``(doc, text)``; see the module's text for strategies.
 
+    Rows without a document belong to none and are left out. At document grain
+    ``doc`` must be unique: strategies differ on rows that share one. ``check``
+    runs a job that makes sure of it; send tables that are not to line grain.
+
     ``documents`` is a table with one row per document, if there is one that is
     cheaper to count than the corpus (``list_documents`` for files).
     ``join_hint`` is a Spark join hint for the shuffled lookups; see
@@ -125,6 +136,9 @@ def score(
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     check_grain(grain)
+    corpus = corpus.where("doc IS NOT NULL")
+    if check and grain == "document":
+        check_unique(corpus)
     counted = num_docs(corpus, grain) if documents is None else num_docs(documents)
     docs = counted.scalar()
 

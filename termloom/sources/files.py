@@ -78,6 +78,12 @@ def _with_empty_documents(
         .load(path)
         .select(_doc_column(doc_key).alias("doc"))
     )
+    if manifest is not None:
+        every = every.distinct()
+        twice = filled.groupBy("doc").count().where("count > 1").first() if doc_key == "name" else None
+        if twice is not None:
+            raise ValueError(f"two files are called {twice.doc!r}; use doc_key='path'")
+        read = read.join(every, "doc", "left_semi")
     empty = every.join(filled, "doc", "left_anti").select("doc", F.lit("").alias("text"))
     return read.unionByName(empty)
 
@@ -92,7 +98,9 @@ def read_documents(
     """Document grain: one row per file, ``(doc, text)``.
 
     ``manifest`` is a table with a ``doc`` column that names all documents; it
-    replaces the driver's listing where there are very many files.
+    replaces the driver's listing where there are very many files. Files that it
+    does not name are left out; two files of one name are refused, by a job over
+    the names.
     """
     read = spark.read.text(path, wholetext=True, **_options(glob)).select(
         _doc_column(doc_key).alias("doc"), F.col("value").alias("text")

@@ -15,16 +15,12 @@ def corpus_from(table: DataFrame, doc: str, text: str) -> DataFrame:
     return table.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
 
 
-def widen(corpus: DataFrame, *by: str) -> DataFrame:
-    """Spread a corpus that comes in fewer splits than there are cores.
+def widen(corpus: DataFrame, partitions: int, *by: str) -> DataFrame:
+    """Spread a corpus that comes in too few splits over ``partitions``.
 
     Cutting texts into terms is the costly step, and one small file (or one big
-    Parquet row group) would run it in one task. Large inputs have far more
-    splits than cores and come back unchanged, so the texts of a large corpus
-    are never shuffled. ``by`` names a column without hot values (the document
-    at document grain); without it rows are dealt out evenly.
+    Parquet row group) would run it in one task. This shuffles the texts, so call
+    it for such inputs only. ``by`` names a column without hot values (the
+    document at document grain); without it rows are dealt out evenly.
     """
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
-    if corpus.rdd.getNumPartitions() >= cores:
-        return corpus
-    return corpus.repartition(cores, *by)
+    return corpus.repartition(partitions, *by)

@@ -68,10 +68,21 @@ def test_glob(spark, mixed):
     assert list_documents(spark, mixed, glob="doc?").count() == 2
 
 
+def test_manifest_does_not_hide_equal_names(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "doc1").write_text("a")
+    manifest = spark.createDataFrame([("doc1",)], "doc string")
+    folders = [str(tmp_path / "x"), str(tmp_path / "y")]
+    with pytest.raises(ValueError, match="doc1"):
+        read_documents(spark, folders, manifest=manifest)
+
+
 def test_manifest_in_place_of_the_listing(spark, mixed):
     manifest = spark.createDataFrame([("doc1",), ("doc10",), ("gone",)], "doc string")
     found = by_doc(read_documents(spark, mixed, manifest=manifest))
-    assert found == {"doc1": "a b a\n", "doc3": " \n", "doc10": "", "gone": ""}
+    # A file that the manifest does not name is no document.
+    assert found == {"doc1": "a b a\n", "doc10": "", "gone": ""}
 
 
 def test_names_of_any_kind(spark, tmp_path):

@@ -64,7 +64,7 @@ def test_scores_shuffle_the_pairs_once(plan):
     assert "ReusedExchange" in frequency
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(spark_entry._statistics()))
 def test_no_python_and_no_cross_join(plan, name):
     text = plan(name)
     for word in ("Python", "Arrow", "CartesianProduct", "NestedLoop", "CollectLimit"):
@@ -83,10 +83,13 @@ def test_counting_compiles_into_one_stage(plan):
     assert set(re.findall(r"\*\((\d+)\)", above_exchange)) == {"2"}
 
 
-def test_widen_leaves_large_inputs_alone(spark, sf_dir):
+def test_widen_deals_out_as_asked(static_plans, sf_dir):
     from termloom import corpus_from, widen
 
-    table = corpus_from(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
-    split = table.repartition(64)
-    assert widen(split, "doc") is split
-    assert widen(table, "doc").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    table = corpus_from(static_plans.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    assert widen(table, 13, "doc").rdd.getNumPartitions() == 13
+
+
+def test_count_reads_ids_only(plan):
+    text = plan("num_docs")
+    assert "REPARTITION" not in text and "text:string" not in text

@@ -134,10 +134,24 @@ def test_join_hints(corpus, hint):
         assert_scores(score(corpus(rows), grain, join_hint=hint), rows)
 
 
-def test_broadcast_gives_way_to_lookup(corpus):
-    rows = random_corpus(13)
-    scored = score(corpus(rows), strategy="broadcast", max_broadcast_bytes=10)
-    assert_scores(scored, rows)
+def test_large_broadcast_is_refused(corpus):
+    with pytest.raises(ValueError, match="lookup"):
+        score(corpus(TINY), strategy="broadcast", max_broadcast_bytes=10)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("grain", GRAINS)
+def test_rows_without_document_are_left_out(corpus, grain, strategy):
+    rows = [("d1", "a b"), ("d2", "a")]
+    assert_scores(score(corpus(rows + [(None, "a z")]), grain, strategy), rows)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_repeated_documents(corpus, strategy):
+    rows = [("d1", "a b"), ("d1", "a c"), ("d2", "z")]
+    with pytest.raises(ValueError, match="d1"):
+        score(corpus(rows), strategy=strategy, check=True)
+    assert_scores(score(corpus(rows), "line", strategy, check=True), rows)
 
 
 def test_sums_hold(spark, sf_dir):

@@ -39,6 +39,16 @@ def test_hot_term_spreads_in_lookup(static_plans, rows):
     assert joined.where("n <> CASE WHEN term = 'hot' THEN 2000 ELSE 1 END").count() == 0
 
 
+def test_long_hot_term_spreads(static_plans, rows):
+    long = F.when(F.col("term") == "hot", F.repeat(F.lit("x"), 5_000)).otherwise(F.col("term"))
+    rows = rows.withColumn("term", long)
+    table = rows.groupBy("term").agg(F.count("*").alias("n"))
+    joined = attach_by_term(rows, table, "n", hot_keys=10)
+    assert largest_task(joined) < ROWS / 5
+    assert joined.where("n <> CASE WHEN length(term) = 5000 THEN 2000 ELSE 1 END").count() == 0
+    assert joined.count() == ROWS
+
+
 def test_plain_join_would_not_spread(static_plans, rows):
     table = rows.groupBy("term").agg(F.count("*").alias("n"))
     assert largest_task(rows.join(table.hint("shuffle_hash"), "term")) > ROWS / 3
@@ -70,7 +80,7 @@ def test_hot_keys_are_few_whatever_the_data(spark):
         assert joined.where("n = 20").count() == 1_000
 
 
-def test_over_long_hot_key_takes_the_shuffled_way(spark):
+def test_over_long_hot_key_is_looked_up(spark):
     long_term = "x" * 5_000
     rows = spark.range(300).select(
         F.col("id").alias("doc"), F.when(F.col("id") % 3 == 0, long_term).otherwise("y").alias("term")
