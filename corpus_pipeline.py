@@ -39,7 +39,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode the texts: ``doc_id, lang, source, ids, n_tokens``."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
+    encoded = bpe.encode_ids(docs, ranks, public_tokenizers.PATTERN)
     return encoded.selectExpr("doc_id", "lang", "source", "ids", "CAST(size(ids) AS BIGINT) AS n_tokens")
 
 

@@ -43,7 +43,7 @@ SCANNED = 64
 # How far the pattern looks beyond the end of a match: a contraction has 3 characters.
 LOOK = 4
 # Distinct words, pairs and windows that a Python worker remembers of each.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 
 
 class Encoder:
@@ -264,6 +264,14 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     ], lambda ids, data: (np.frombuffer(ids, "<u4").astype(np.int32), data))
 
 
+def encode_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``docs`` with ``ids`` only."""
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    return _encoded(
+        docs, ranks_path, pattern, added, lambda ids, _: (np.frombuffer(ids, "<u4").astype(np.int32),), decode=False
+    )
+
+
 def encode_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``docs`` with ``n_tokens, ids_sha256, decoded_sha256`` in place of ids and bytes."""
     return _encoded(docs, ranks_path, pattern, [
@@ -277,7 +285,7 @@ def encode_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ))
 
 
-def _encoded(docs, ranks_path, pattern, added, give):
+def _encoded(docs, ranks_path, pattern, added, give, decode=True):
     docs.sparkSession.sparkContext.addFile(ranks_path)
     name = ranks_path.rsplit("/", 1)[-1]
 
@@ -288,7 +296,7 @@ def _encoded(docs, ranks_path, pattern, added, give):
             rows = []
             for text in strings(texts):
                 ids = encoder.encode(text)
-                rows.append(give(ids, encoder.decode(np.frombuffer(ids, "<u4"))))
+                rows.append(give(ids, encoder.decode(np.frombuffer(ids, "<u4")) if decode else None))
             return [list(c) for c in zip(*rows)] if rows else [[] for _ in added]
 
         return compute

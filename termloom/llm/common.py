@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 # Texts are hashed in groups of rows of about so many bytes, which bounds a task's memory.
 GROUP_BYTES = 4 << 20
+# Rows that are computed and given back at once.
+ROWS = 1_000
 # Words are hashed in stretches of about so many bytes, which stay in a CPU's cache.
 _STRETCH = 1 << 18
 
@@ -114,13 +116,15 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
-        for batch in batches:
-            made = compute(*(batch.column(p) for p in places))
-            arrays = [
-                x if isinstance(x, pa.Array) else pa.array(x, kind)
-                for x, kind in zip(made, kinds, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=names)
+        for whole in batches:
+            for at in range(0, len(whole), ROWS):
+                batch = whole.slice(at, ROWS)
+                made = compute(*(batch.column(p) for p in places))
+                arrays = [
+                    x if isinstance(x, pa.Array) else pa.array(x, kind)
+                    for x, kind in zip(made, kinds, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=names)
 
     return map_arrow(docs, run, schema)
 
