@@ -43,7 +43,7 @@ SCANNED = 64
 # How far the pattern looks beyond the end of a match: a contraction has 3 characters.
 LOOK = 4
 # Distinct words, pairs and windows that a Python worker remembers of each.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 class Encoder:
