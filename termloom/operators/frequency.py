@@ -25,15 +25,16 @@ def doc_freq(corpus: DataFrame, grain: str = "document") -> DataFrame:
 def doc_freq_of_counts(counts: DataFrame) -> DataFrame:
     """``(term, num_docs_with_word)`` out of ``(doc, term, word_count)``.
 
-    The filter is true for every row. It keeps ``word_count`` in use, so that
-    this branch and the one that joins it have the same shuffle of ``counts``
-    below them and Spark runs that shuffle once.
+    The filter is true for every term, whatever its counts are, since a hash is
+    never NULL. It keeps ``word_count`` in use, so that this branch and the one
+    that joins it have the same shuffle of ``counts`` below them and Spark runs
+    that shuffle once.
     """
     return (
         counts.groupBy("term")
-        .agg(F.count("*").alias("num_docs_with_word"), F.sum("word_count").alias("occurrences"))
-        .where("occurrences > 0")
-        .drop("occurrences")
+        .agg(F.count("*").alias("num_docs_with_word"), F.max(F.xxhash64("word_count")).alias("used"))
+        .where("used IS NOT NULL")
+        .drop("used")
     )
 
 

@@ -28,18 +28,27 @@ def with_group_total(
 
     There are as many slices as shuffle partitions unless stated, so a group of
     any size spreads over the whole cluster.
+
+    Without ``over``, ``rows`` is shuffled once, by (group, slice); the sums and the
+    join both start from there.
     """
     if slices is None:
         slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Never NULL, and known to be, so that the join adds no filter to one side only.
     slice_of = F.coalesce(F.pmod(F.xxhash64(spread), F.lit(slices)), F.lit(0)).alias("slice")
-    sums = (
-        (rows if over is None else over)
-        .groupBy(group, slice_of)
-        .agg(F.sum(value).alias("slice_sum"))
-    )
+    sliced = rows.select("*", slice_of)
+    if over is None:
+        sliced = sliced.repartition(group, "slice")
+        # True for every slice, as a hash is never NULL: it keeps all columns in use,
+        # so that both branches have the same shuffle below them and it runs once.
+        sums = (
+            sliced.groupBy(group, "slice")
+            .agg(F.sum(value).alias("slice_sum"), F.max(F.xxhash64(*rows.columns)).alias("used"))
+            .where("used IS NOT NULL")
+        )
+    else:
+        sums = over.groupBy(group, slice_of).agg(F.sum(value).alias("slice_sum"))
     totals = sums.select(
         group, "slice", F.sum("slice_sum").over(Window.partitionBy(group)).alias(name)
     )
-    sliced = rows.select("*", slice_of)
     return sliced.join(totals, [group, "slice"]).select(*rows.columns, name)

@@ -78,7 +78,7 @@ def counts_with_totals(corpus: DataFrame, grain: str) -> DataFrame:
     total = "num_docs_with_word"
     if grain == "document":
         counts = term_counts_with_size(corpus)
-        return with_group_total(counts, "term", "doc", F.lit(1), total, terms_per_row(corpus))
+        return with_group_total(counts, "term", "doc", F.lit(1), total)
     counts = term_counts(corpus, grain)
     sized = with_group_total(counts, "doc", "term", F.col("word_count"), "doc_size")
     # Always 1; naming word_count lets both totals use one shuffle of the counts.

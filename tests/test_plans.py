@@ -39,7 +39,8 @@ def test_counts_of_a_document_are_not_shuffled(plan, name):
         ("doc_freq", 1),
         ("vocabulary", 1),
         ("tfidf", 2),
-        ("tfidf_window", 2),
+        ("tfidf_window", 1),
+        ("term_counts_with_size_window", 1),
         ("tfidf_report", 2),
         ("postings", 2),
         ("tfidf_lines", 1),
@@ -76,6 +77,12 @@ def test_scan_reads_two_columns(plan):
     assert schemas == {"struct<doc_id:bigint,text:string>", "struct<doc_id:bigint>"}
 
 
+def test_window_shuffles_the_pairs_once(plan):
+    text = plan("tfidf_window")
+    assert len(re.findall(r"- Exchange .*REPARTITION_BY_COL", text)) == 1
+    assert len(re.findall(r"- ReusedExchange .*REPARTITION_BY_COL", text)) == 1
+
+
 def test_counting_compiles_into_one_stage(plan):
     text = plan("term_counts")
     assert "lambdafunction" not in text

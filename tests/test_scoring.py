@@ -8,6 +8,7 @@ import pytest
 from brute_force import assert_scores
 from pyspark.sql import functions as F
 
+from termloom.operators.frequency import doc_freq_of_counts
 from termloom import doc_sizes, num_docs, score, term_counts, tokenize
 from termloom.plans.scoring import STRATEGIES
 
@@ -170,3 +171,11 @@ def test_sums_hold(spark, sf_dir):
     assert scored.where(out_of_range).count() == 0
     counts = term_counts(spark_entry._documents(spark, sf_dir))
     assert scored.count() == counts.count()
+
+
+def test_frequency_of_saved_counts_keeps_terms_without_occurrences(spark):
+    saved = spark.createDataFrame(
+        [("d1", "a", 0), ("d2", "a", None), ("d1", "b", 2)], "doc string, term string, word_count bigint"
+    )
+    rows = {r.term: r.num_docs_with_word for r in doc_freq_of_counts(saved).collect()}
+    assert rows == {"a": 2, "b": 1}
