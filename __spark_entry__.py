@@ -105,8 +105,7 @@ def _tf(corpus: DataFrame) -> DataFrame:
 
 def _tf_idf_union(corpus: DataFrame) -> DataFrame:
     docs = counts.num_docs(corpus).scalar()
-    idf_rows = scoring.idf_of_pairs(tk.terms_per_row(corpus), frequency.doc_freq(corpus), docs)
-    return combine.union_values(_tf(corpus), idf_rows)
+    return combine.stacked_values(scoring.counts_with_totals(corpus, "document"), docs)
 
 
 def _doc_freq_merge(corpus: DataFrame) -> DataFrame:

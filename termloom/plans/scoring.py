@@ -32,8 +32,8 @@ from termloom.operators.combine import (
     idf_table,
     join_values,
     product_of_values,
+    stacked_values,
     tf_table,
-    union_values,
 )
 from termloom.operators.counts import (
     check_grain,
@@ -104,9 +104,10 @@ def _counts_with_lookup(
     return attach_by_term(counts, frequency, "num_docs_with_word", join_hint=join_hint)
 
 
-def idf_of_pairs(pairs: DataFrame, frequency: DataFrame, docs: Column) -> DataFrame:
-    """``(doc, term, idf)`` for every distinct pair."""
-    held = attach_by_term(pairs.select("doc", "term"), frequency, "num_docs_with_word")
+def idf_of_pairs(pairs: DataFrame, docs: Column) -> DataFrame:
+    """``(doc, term, idf)`` for every distinct pair; frequencies are totals over the pairs."""
+    total = "num_docs_with_word"
+    held = with_group_total(pairs.select("doc", "term"), "term", "doc", F.lit(1), total)
     return idf_table(held, docs)
 
 
@@ -142,13 +143,13 @@ def score(
     counted = num_docs(corpus, grain) if documents is None else num_docs(documents)
     docs = counted.scalar()
 
-    if strategy in ("join", "product"):
-        counts, frequency = counts_and_frequency(corpus, grain)
+    if strategy == "join":
+        counts, _ = counts_and_frequency(corpus, grain)
         pairs = terms_per_row(corpus) if grain == "document" else counts
-        tf_rows, idf_rows = tf_table(counts), idf_of_pairs(pairs, frequency, docs)
-        if strategy == "join":
-            return join_values(tf_rows, idf_rows)
-        return product_of_values(union_values(tf_rows, idf_rows))
+        return join_values(tf_table(counts), idf_of_pairs(pairs, docs))
+
+    if strategy == "product":
+        return product_of_values(stacked_values(counts_with_totals(corpus, grain), docs))
 
     if strategy == "window":
         matched = counts_with_totals(corpus, grain)

@@ -40,6 +40,9 @@ def test_counts_of_a_document_are_not_shuffled(plan, name):
         ("vocabulary", 1),
         ("tfidf", 2),
         ("tfidf_window", 1),
+        ("tfidf_product", 1),
+        ("tf_idf_union", 1),
+        ("tf_idf_join", 2),
         ("term_counts_with_size_window", 1),
         ("tfidf_report", 2),
         ("postings", 2),
@@ -77,8 +80,9 @@ def test_scan_reads_two_columns(plan):
     assert schemas == {"struct<doc_id:bigint,text:string>", "struct<doc_id:bigint>"}
 
 
-def test_window_shuffles_the_pairs_once(plan):
-    text = plan("tfidf_window")
+@pytest.mark.parametrize("name", ["tfidf_window", "tfidf_product", "tf_idf_union"])
+def test_group_totals_shuffle_the_pairs_once(plan, name):
+    text = plan(name)
     assert len(re.findall(r"- Exchange .*REPARTITION_BY_COL", text)) == 1
     assert len(re.findall(r"- ReusedExchange .*REPARTITION_BY_COL", text)) == 1
 

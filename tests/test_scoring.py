@@ -8,9 +8,10 @@ import pytest
 from brute_force import assert_scores
 from pyspark.sql import functions as F
 
+from termloom.operators import combine
 from termloom.operators.frequency import doc_freq_of_counts
 from termloom import doc_sizes, num_docs, score, term_counts, tokenize
-from termloom.plans.scoring import STRATEGIES
+from termloom.plans.scoring import STRATEGIES, counts_with_totals
 
 TINY = {"doc1": "a b a\n", "doc2": "b c\n"}
 EDGE = {"d1": "  a b\n", "d2": "me@x.org a", "d3": "", "d4": " \t\n", "d5": "x\x0by a=1"}
@@ -155,6 +156,18 @@ def test_repeated_documents(corpus, strategy):
     assert_scores(score(corpus(rows), "line", strategy, check=True), rows)
 
 
+def test_stacking_is_the_union_of_both_tables(spark):
+    corpus = spark.createDataFrame([(1, "a b a"), (2, "a c"), (3, ""), (4, None)], "doc int, text string")
+    matched = counts_with_totals(corpus, "document")
+    docs = F.lit(4)
+    idf_rows = combine.idf_table(matched.select("doc", "term", "num_docs_with_word"), docs)
+    union = combine.union_values(combine.tf_table(matched), idf_rows)
+    stacked = combine.stacked_values(matched, docs)
+    assert stacked.columns == union.columns
+    assert sorted(stacked.collect()) == sorted(union.collect())
+    assert stacked.count() == 8
+
+
 def test_sums_hold(spark, sf_dir):
     import __spark_entry__ as spark_entry
 
