@@ -37,10 +37,10 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode the texts: ``doc_id, lang, source, ids, n_tokens``."""
+    """Encode the texts and decode the ids: ``doc_id, lang, source, ids, n_tokens, decoded_sha256``."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode_ids(docs, ranks, public_tokenizers.PATTERN)
-    return encoded.selectExpr("doc_id", "lang", "source", "ids", "CAST(size(ids) AS BIGINT) AS n_tokens")
+    return encoded.selectExpr("doc_id", "lang", "source", "ids", "CAST(size(ids) AS BIGINT) AS n_tokens", "decoded_sha256")
 
 
 STAGES = [

@@ -265,11 +265,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
 
 
 def encode_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``docs`` with ``ids`` only."""
-    added = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
-    return _encoded(
-        docs, ranks_path, pattern, added, lambda ids, _: (np.frombuffer(ids, "<u4").astype(np.int32),), decode=False
-    )
+    """``docs`` with ``ids`` and ``decoded_sha256``, the digest of the bytes they stand for."""
+    return _encoded(docs, ranks_path, pattern, [
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("decoded_sha256", T.StringType()),
+    ], lambda ids, data: (np.frombuffer(ids, "<u4").astype(np.int32), hashlib.sha256(data).hexdigest()))
 
 
 def encode_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -285,7 +285,7 @@ def encode_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ))
 
 
-def _encoded(docs, ranks_path, pattern, added, give, decode=True):
+def _encoded(docs, ranks_path, pattern, added, give):
     docs.sparkSession.sparkContext.addFile(ranks_path)
     name = ranks_path.rsplit("/", 1)[-1]
 
@@ -296,7 +296,7 @@ def _encoded(docs, ranks_path, pattern, added, give, decode=True):
             rows = []
             for text in strings(texts):
                 ids = encoder.encode(text)
-                rows.append(give(ids, encoder.decode(np.frombuffer(ids, "<u4")) if decode else None))
+                rows.append(give(ids, encoder.decode(np.frombuffer(ids, "<u4"))))
             return [list(c) for c in zip(*rows)] if rows else [[] for _ in added]
 
         return compute
