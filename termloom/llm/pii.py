@@ -30,6 +30,8 @@ SURE = 0.95
 ROUNDS = 50
 # Characters before a span that are its context.
 BEFORE = 24
+# Characters of a secret in which no base span may lie; what lies behind them does not rule it out.
+HEAD = 64
 
 _USER = "[A-Za-z0-9._%+-]"
 # A match begins where a run begins, or where the match before it ended.
@@ -42,7 +44,7 @@ _STRICT = {
 _LOOSE = {
     "email": rf"(?i)(?<!{_USER}){_USER}++ ?(?:\(at\)|\[at\]) ?[a-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|\.) ?[a-z0-9-]++)++",
     "phone": r"(?<![0-9.+-])\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,4}){2,4}(?![0-9])",
-    "secret": r"(?i)(?:password|passwd|token|secret|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[^\s\"']{8,64}[\"']?",
+    "secret": r"(?i)(?:password|passwd|token|secret|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[^\s\"']{8,}+[\"']?",
 }
 # What a text must hold for a pattern to be tried.
 _NEEDS = {
@@ -126,8 +128,13 @@ def with_spans(docs: DataFrame) -> DataFrame:
         F.array_sort(F.concat(*map(kept, BASE))).alias("_base"),
         F.concat(*map(failed, ("ip", "card", "phone")), *loose).alias("_loose"),
     ).drop(*(f"_{k}" for k in BASE))
-    free = F.filter("_loose", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return docs.withColumn("_maybe", free).drop("_loose")
+
+    def free(c):
+        secret = c["kind"] == KINDS.index("secret")
+        end = F.when(secret, F.least(c["end"], c["start"] + HEAD)).otherwise(c["end"])
+        return ~F.exists("_base", lambda b: (b["start"] < end) & (c["start"] < b["end"]))
+
+    return docs.withColumn("_maybe", F.filter("_loose", free)).drop("_loose")
 
 
 def _by_kind(kind: Column, choose) -> Column:
