@@ -133,14 +133,21 @@ class WordEncoder:
     Its pattern begins a piece at every blank before a character that is not
     blank, so a text's ids are those of its words, each with the blank before it.
     Unknown words are encoded together and cut apart by their numbers of bytes.
+
+    With ``special``, tokens added to the vocabulary are found in texts, as the
+    library does by itself; texts that hold one are encoded whole. Without, they
+    are encoded like any other text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Words hold no added token, unless they are to be encoded as other text.
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values() if special else ()
+        self.added = [token.content for token in added]
         vocabulary = self.tokenizer.get_vocab()
         # In the byte-level alphabet a character stands for a byte.
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -151,6 +158,12 @@ class WordEncoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def _whole(self, text: str) -> bytes:
+        self.tokenizer.encode_special_tokens = False
+        ids = self._ids(text).tobytes()
+        self.tokenizer.encode_special_tokens = True
+        return ids
+
     def learn(self, words: list[str]) -> dict[str, bytes]:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
@@ -175,7 +188,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [words_of(t) for t in texts]
+        whole = {k: self._whole(t) for k, t in enumerate(texts) if any(a in t for a in self.added)}
+        split = [[] if k in whole else words_of(t) for k, t in enumerate(texts)]
         ids = [list(map(self.known.get, words)) for words in split]
         unknown = {w for words, got in zip(split, ids) if None in got for w, x in zip(words, got) if x is None}
         if unknown:
@@ -184,18 +198,19 @@ class WordEncoder:
                 [new[w] if x is None else x for w, x in zip(words, got)] if None in got else got
                 for words, got in zip(split, ids)
             ]
-        return [b"".join(got) for got in ids]
+        return [whole[k] if k in whole else b"".join(got) for k, got in enumerate(ids)]
 
 
 @functools.lru_cache(maxsize=2)
 def _worker_encoder(name: str) -> WordEncoder:
-    return WordEncoder(SparkFiles.get(name))
+    return WordEncoder(SparkFiles.get(name), special=True)
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Encode ``docs(doc_id, text)`` and write the ids to ``path``, in order of doc_id.
 
-    Every document ends with ``end_id``; a null text counts as an empty one. Rows
+    Added tokens of the tokenizer that a text holds are ids of their own, as the
+    library has it. Every document ends with ``end_id``; a null text counts as an empty one. Rows
     without doc_id come first, rows of one doc_id in order of their texts.
     ``tokenizer_path`` is a file that the driver can read; Spark sends it on.
     """
