@@ -13,7 +13,10 @@ from termloom.llm import (
     licenses,
     near_dedup,
     pii,
+    prefix_trie,
     quality,
+    repair,
+    sharding,
     token_files,
     toxicity,
     warc,
@@ -21,6 +24,7 @@ from termloom.llm import (
 from termloom.llm.common import read, shared_folder
 
 END_ID = 2
+SHARDS = 16
 
 
 def _held_out(folds: int, fold: int) -> Column:
@@ -99,6 +103,19 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir), size=3, percent=85)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+    return nodes.drop("ref_conv", "ref_at")
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(_documents(spark, sf_dir), sharding.balanced(SHARDS))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(repair.damaged(read(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
@@ -111,6 +128,9 @@ def queries() -> dict:
         "op8_fingerprints": op8_fingerprints,
         "op9_quality": op9_quality,
         "op10_near_dedup": op10_near_dedup,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_sharding": op12_sharding,
+        "op13_repair": op13_repair,
     }
 
 
@@ -172,10 +192,48 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM c LEFT JOIN n USING (doc_id)"""
 
 
+# CRC-32 of an id's decimal digits: each byte, and within it each bit, is a step.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+
+# Nodes are whole sequences of turns; a node's subtree are those that begin with it.
+_TRIE = f"""WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, c - c % 5 AS b, {_CRC} % 9 AS h FROM ids),
+t AS (
+  SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+r AS (
+  SELECT c, i AS d, said FROM k JOIN t ON t.conv_id = b AND i <= h
+  UNION ALL
+  SELECT c, i - h + least(h, coalesce(n, 0)) AS d, said FROM k JOIN t ON t.conv_id = c AND i > h LEFT JOIN n ON n.conv_id = b),
+l AS (SELECT c, coalesce(max(d), 0) AS len FROM k LEFT JOIN r USING (c) GROUP BY c),
+m AS (
+  SELECT c, d, list(said) OVER (PARTITION BY c ORDER BY d) AS seq FROM r
+  UNION ALL SELECT c, 0 AS d, [] AS seq FROM k),
+x AS (
+  SELECT d, seq, min(c) AS conv_id, count(*) AS n_convs,
+    CASE WHEN d > 0 THEN strlen(any_value(seq)[-1].text) ELSE 0 END AS bytes,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len = d), '') AS ends
+  FROM m JOIN l USING (c) GROUP BY d, seq),
+p AS (
+  SELECT a.*, b.conv_id AS parent_conv_id, count(e.d) AS n_children
+  FROM x a LEFT JOIN x b ON b.d = a.d - 1 AND b.seq = a.seq[1:a.d - 1] LEFT JOIN x e ON e.d = a.d + 1 AND e.seq[1:a.d] = a.seq
+  GROUP BY ALL),
+s AS (
+  SELECT a.d, a.seq, count(*) FILTER (e.n_children = 0) AS n_leaves, sum((e.n_convs - 1) * e.bytes) AS saved
+  FROM p a JOIN p e ON e.d >= a.d AND e.seq[1:a.d] = a.seq GROUP BY a.d, a.seq)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM p JOIN s USING (d, seq)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Statements for the operators that SQL can express."""
     return {
         "op2_decontamination": _WINDOWS,
         "op7_warc": _ARCHIVE,
         "op10_near_dedup": _COMPONENTS,
+        "op11_prefix_trie": _TRIE,
     }
