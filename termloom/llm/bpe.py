@@ -32,7 +32,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from termloom.llm.common import add_columns, strings
+from termloom.llm.common import add_columns, kept_by, strings
 
 # Characters of a text that are encoded without being halved.
 LEAF = 4096
@@ -51,12 +51,13 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.bytes_of = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.bytes_of[rank] = token
         # The tokens' bytes one after the other, for decoding.
-        tokens = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
-        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.sizes = np.array([len(t) for t in self.bytes_of], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.never = len(ranks) + max(ranks.values())
         self.find = regex.compile(pattern).finditer
         self.pairs: dict[tuple[int, int], bool] = {}
@@ -251,6 +252,9 @@ def worker_encoder(name: str, pattern: str) -> Encoder:
         return Encoder(load_ranks(file.read()), pattern)
 
 
+kept_by(__name__, worker_encoder.cache_clear)
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``docs`` with ``ids`` (tokens of ``text``) and ``decoded`` (the bytes they stand for).
 

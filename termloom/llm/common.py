@@ -7,7 +7,9 @@ replaced by it.
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -16,14 +18,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Texts are hashed in groups of rows of about so many bytes, which bounds a task's memory.
 GROUP_BYTES = 4 << 20
-# Rows that are computed and given back at once.
+# Rows that are computed and given back at once, and bytes of what is read of them; one row may have more.
 ROWS = 1_000
+BATCH_BYTES = 2 << 20
 # Words are hashed in stretches of about so many bytes, which stay in a CPU's cache.
 _STRETCH = 1 << 18
 
@@ -73,14 +77,59 @@ def _packed_code() -> str:
 
 _shipped = set()
 
+# What makes a Python worker forget what an operator keeps between tasks, by the operator's module.
+_FORGET: dict[str, Callable[[], None]] = {}
+_LAST: list[str] = []
+
+
+def kept_by(module: str, forget: Callable[[], None]) -> None:
+    """Say how to give back what ``module`` keeps in a Python worker; done when another one's task begins there."""
+    _FORGET[module] = forget
+
+
+def _begin(module: str) -> None:
+    if _LAST != [module]:
+        for owner, forget in _FORGET.items():
+            if owner != module:
+                forget()
+        _LAST[:] = [module]
+
+
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library, which keeps its own counsel
+        return lambda _: 0
+
+
+def _give_back() -> None:
+    """Return freed memory to the system; workers are used again for many tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def _tidy(function: Callable, module: str) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin(module)
+        yield from function(batches)
+        _give_back()
+
+    return run
+
 
 def map_arrow(table: DataFrame, function: Callable, schema) -> DataFrame:
-    """``table.mapInArrow``, with this package's code sent to the executors."""
+    """``table.mapInArrow``, with this package's code sent to the executors.
+
+    What other modules' functions keep in a Python worker is given up before
+    ``function``'s tasks run there.
+    """
     context = table.sparkSession.sparkContext
     if context.applicationId not in _shipped:
         context.addPyFile(_packed_code())
         _shipped.add(context.applicationId)
-    return table.mapInArrow(function, schema)
+    return table.mapInArrow(_tidy(function, function.__module__), schema)
 
 
 def column(name: str) -> Column:
@@ -117,8 +166,7 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
         for whole in batches:
-            for at in range(0, len(whole), ROWS):
-                batch = whole.slice(at, ROWS)
+            for batch in small_batches(whole, places):
                 made = compute(*(batch.column(p) for p in places))
                 arrays = [
                     x if isinstance(x, pa.Array) else pa.array(x, kind)
@@ -126,9 +174,29 @@ def add_columns(
                 ]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=names)
 
+    run.__module__ = start.__module__
     return map_arrow(docs, run, schema)
 
 
+def small_batches(
+    whole: pa.RecordBatch, places: list[int], rows: int = ROWS, most: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """``whole`` in order, cut to ``rows`` rows and ``most`` bytes in the columns at ``places``, or one row."""
+    size = np.zeros(len(whole), np.int64)
+    for place in places:
+        array = whole.column(place)
+        if pa.types.is_string(array.type) or pa.types.is_binary(array.type):
+            size += pc.binary_length(array).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(size)
+    at = 0
+    while at < len(whole):
+        before = ends[at - 1] if at else 0
+        to = int(np.searchsorted(ends, before + most, side="right"))
+        to = min(max(to, at + 1), at + rows, len(whole))
+        yield whole.slice(at, to - at)
+        at = to
+
+
 def rows_where(docs: DataFrame, inputs: list[str], operator: Callable, condition: str) -> DataFrame:
     """The rows of ``docs`` for which ``operator``'s result holds; all columns as they were.
 
@@ -200,7 +268,7 @@ def _lower(b: int) -> int:
 _VALUES = mix(np.array([_lower(b) + 1 for b in range(256)], np.uint64) * np.uint64(_P))
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(size, _P, np.uint64), np.full(size, _P_INVERSE, np.uint64)
     up[0] = down[0] = 1

@@ -29,6 +29,7 @@ from termloom.llm.common import (
     add_columns,
     byte_groups,
     combine,
+    kept_by,
     map_arrow,
     rows_where,
     words,
@@ -92,6 +93,9 @@ def _built(key: str, held: Broadcast) -> Windows:
     return _BUILT[key]
 
 
+kept_by(__name__, _BUILT.clear)
+
+
 def _sieve(known: np.ndarray) -> np.ndarray:
     out = np.zeros(int(_SIEVE) + 1, bool)
     out[(known & _SIEVE).astype(np.int64)] = True

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import map_arrow
+from termloom.llm.common import kept_by, map_arrow
 
 # The edits' costs, and the roles that edits can give.
 REROLE, DELETE, INSERT, CUT = 3, 4, 3, 3
@@ -211,6 +211,9 @@ def _known(turns: bytes):
     return repair(turns)
 
 
+kept_by(__name__, _known.cache_clear)
+
+
 def repaired_roles(audit: str, roles: list[str]) -> list[tuple[int | None, str]]:
     """The repaired conversation as (place of the turn, role); no place for an insertion."""
     out, expected, at = [], "u", 0
