@@ -19,15 +19,17 @@ from __future__ import annotations
 import functools
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termloom.llm.bpe import words_of
-from termloom.llm.common import map_arrow, strings
+from termloom.llm.common import kept_by, map_arrow, small_batches, strings
 
 # Ids in a slot's bits; a word has 60 bits of them. The last is the widest.
 SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15)]
@@ -35,8 +37,12 @@ WIDEST = SELECTORS[-1][1]
 BLOCK_IDS = 8192
 # A segment is closed once it has so many ids; one document may be longer.
 SEGMENT_IDS = 1 << 18
-# Words whose ids a Python worker remembers.
+# Words whose ids a Python worker remembers, and as many that it met before them.
 REMEMBERED = 600_000
+# Texts that are cut into words at once: rows, and bytes.
+_ROWS, _BYTES = 4_000, 8 << 20
+# A blank before another space of any kind, or one that this engine and Python may take differently.
+_APART = r" [\s\x0b\x1c-\x1f\x{85}\x{a0}\p{Z}]"
 
 # Bits that a value takes; one with all bits set is not available in any width.
 _BITS = np.array([int(v + 1).bit_length() for v in range(1 << WIDEST)], np.int8)
@@ -154,51 +160,119 @@ class WordEncoder:
         for token, number in vocabulary.items():
             self.sizes[number] = len(token)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def _first(self, word: str) -> bytes:
+        """Ids of a word without a blank before it; few words begin a text, so many begin several."""
+        if not word:
+            return b""
+        ids = self.firsts.get(word)
+        if ids is None:
+            if len(self.firsts) >= REMEMBERED // 8:
+                self.firsts.clear()
+            ids = self.firsts[word] = self._ids(word).tobytes()
+        return ids
+
     def _whole(self, text: str) -> bytes:
         self.tokenizer.encode_special_tokens = False
         ids = self._ids(text).tobytes()
         self.tokenizer.encode_special_tokens = True
         return ids
 
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        found, joined = {}, []
-        for word in words:
-            if word[0] == " " and len(word) > 1 and not word[1].isspace() and len(word) <= 64:
-                joined.append(word)
-            else:
-                found[word] = self._ids(word).tobytes()
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of words that stand behind a blank each, given without it."""
+        joined = [w for w in words if 0 < len(w) < 64 and not w[0].isspace()]
         parts = [joined[k : k + 64] for k in range(0, len(joined), 64)]
-        encode = self.tokenizer.encode_batch_fast
-        for part, done in zip(parts, encode(["".join(p) for p in parts], add_special_tokens=False)):
+        found = {}
+        texts = [" " + " ".join(part) for part in parts]
+        for part, done in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(done.ids, "<u4")
-            cuts = np.searchsorted(
-                np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in part])
-            ) + 1
-            data, at = ids.tobytes(), 0
-            for word, cut in zip(part, (4 * cuts).tolist()):
-                found[word] = self.known[word] = data[at:cut]
-                at = cut
-        return found
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, part)), np.int64, len(part)) + 1)
+            cuts = 4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 4
+            data, cuts = ids.tobytes(), [0, *cuts.tolist()]
+            found.update(zip(part, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
+        if len(self.known) + len(found) > REMEMBERED:
+            # Words that are met again come back from the older half.
+            self.older, self.known = self.known, {}
+        self.known.update(found)
+        if len(joined) < len(words):
+            found.update((w, self._ids(" " + w).tobytes()) for w in words if w not in found)
+        return list(map(found.__getitem__, words))
+
+    def inner(self, words: list[str]) -> list[bytes]:
+        """Ids of different words, each with a blank before it that is not in ``words``."""
+        ids = list(map(self.known.get, words))
+        missing = [k for k, own in enumerate(ids) if own is None]
+        unknown = []
+        for k in missing:
+            own = self.older.get(words[k])
+            if own is None:
+                unknown.append(k)
+            else:
+                ids[k] = self.known[words[k]] = own
+        if unknown:
+            for k, own in zip(unknown, self._learn([words[k] for k in unknown])):
+                ids[k] = own
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         whole = {k: self._whole(t) for k, t in enumerate(texts) if any(a in t for a in self.added)}
         split = [[] if k in whole else words_of(t) for k, t in enumerate(texts)]
-        ids = [list(map(self.known.get, words)) for words in split]
-        unknown = {w for words, got in zip(split, ids) if None in got for w, x in zip(words, got) if x is None}
-        if unknown:
-            new = self.learn(list(unknown))
-            ids = [
-                [new[w] if x is None else x for w, x in zip(words, got)] if None in got else got
-                for words, got in zip(split, ids)
-            ]
-        return [whole[k] if k in whole else b"".join(got) for k, got in enumerate(ids)]
+        words = list(dict.fromkeys(chain.from_iterable(split)))
+        behind = [w for w in words if w[0] == " "]
+        ids_of = dict(zip(behind, self.inner([w[1:] for w in behind])))
+        ids_of.update((w, self._ids(w).tobytes()) for w in words if w[0] != " ")
+        get = ids_of.__getitem__
+        return [whole[k] if k in whole else b"".join(map(get, own)) for k, own in enumerate(split)]
+
+    def encode_array(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, ``end`` behind each text's, and their numbers.
+
+        Texts are cut at blanks, and equal words found, outside of Python; it sees each
+        distinct word of these texts once. Texts in which a blank is followed by
+        another, and those that hold an added token, are encoded by themselves.
+        """
+        texts = texts.fill_null("")
+        n = len(texts)
+        alone = pc.match_substring_regex(texts, _APART)
+        for token in self.added:
+            alone = pc.or_(alone, pc.match_substring(texts, token))
+        alone = np.flatnonzero(alone.to_numpy(zero_copy_only=False))
+        if len(alone):
+            apart = self.encode(texts.take(pa.array(alone)).to_pylist())
+            keep = np.ones(n, bool)
+            keep[alone] = False
+            texts = pc.if_else(pa.array(keep), texts, "")
+        else:
+            apart = []
+        pieces = pc.split_pattern(texts, " ")
+        starts = pieces.offsets.to_numpy()
+        coded = pieces.values.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        table = self.inner(words)
+        # A text's first piece has no blank before it; then come texts of their own, and the end.
+        firsts = pieces.values.take(pa.array(starts[:-1])).to_pylist()
+        table += [self._first(f) for f in firsts]
+        for k, ids in zip(alone.tolist(), apart):
+            table[len(words) + k] = ids
+        table.append(np.array([end], "<u4").tobytes())
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        flat = np.frombuffer(b"".join(table), "<u4")
+        places = coded.indices.to_numpy().astype(np.int64)
+        places[starts[:-1]] = len(words) + np.arange(n)
+        places = np.insert(places, starts[1:], len(table) - 1)
+        counts = sizes[places]
+        ends = np.cumsum(counts)
+        at = np.repeat((np.cumsum(sizes) - sizes)[places] - ends + counts, counts)
+        at += np.arange(len(at))
+        # Each text's pieces are followed by its end.
+        total = ends[starts[1:] + np.arange(n)] if n else ends
+        return flat[at], np.diff(total, prepend=0)
 
 
 @functools.lru_cache(maxsize=2)
@@ -206,6 +280,9 @@ def _worker_encoder(name: str) -> WordEncoder:
     return WordEncoder(SparkFiles.get(name), special=True)
 
 
+kept_by(__name__, _worker_encoder.cache_clear)
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Encode ``docs(doc_id, text)`` and write the ids to ``path``, in order of doc_id.
 
@@ -223,18 +300,35 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> N
         .repartitionByRange(shards, "doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encoder = _worker_encoder(name)
         shard = TaskContext.get().partitionId()
         state = {"segment": 0, "before": 0}
-        docs, parts, size = [], [], 0
-
-        def segment():
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            counts = np.array([len(p) // 4 for p in parts], "<i8")
-            row = [shard, state["segment"], len(ids), state["before"], pack_ids(docs), counts.tobytes(), *pack(ids)]
+        docs, counts, parts, size = [], [], [], 0
+
+        def segments(last: bool):
+            """Segments of whole documents out of what was read, the rest of it only if it is the ``last``."""
+            nonlocal docs, counts, parts, size
+            ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+            ends = np.cumsum(np.array(counts, np.int64))
+            row = 0
+            while row < len(docs):
+                before = ends[row - 1] if row else 0
+                to = int(np.searchsorted(ends, before + SEGMENT_IDS)) + 1
+                if to > len(docs) and not last:
+                    break
+                to = min(to, len(docs))
+                yield segment(docs[row:to], counts[row:to], ids[before : ends[to - 1]])
+                row = to
+            before = ends[row - 1] if row else 0
+            docs, counts, parts, size = docs[row:], counts[row:], [ids[before:]], len(ids) - before
+
+        def segment(docs, counts, ids):
+            row = [
+                shard, state["segment"], len(ids), state["before"], pack_ids(docs),
+                np.array(counts, "<i8").tobytes(), *pack(ids),
+            ]
             state["segment"] += 1
             state["before"] += len(ids)
             return pa.RecordBatch.from_arrays(
@@ -242,19 +336,17 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> N
             )
 
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                some = batch.slice(at, 1000)
-                for doc, ids in zip(some["doc_id"].to_pylist(), encoder.encode(strings(some["text"]))):
-                    docs.append(doc)
-                    parts.append(ids + end)
-                    size += len(ids) // 4 + 1
-                    if size >= SEGMENT_IDS:
-                        yield segment()
-                        docs, parts, size = [], [], 0
-        if docs:
-            yield segment()
-
-    map_arrow(ordered, run, _SEGMENT).write.option("compression", "zstd").parquet(path)
+            for some in small_batches(batch, [1], _ROWS, _BYTES):
+                ids, lengths = encoder.encode_array(some["text"], end_id)
+                docs += some["doc_id"].to_pylist()
+                counts += lengths.tolist()
+                parts.append(ids)
+                size += len(ids)
+                if size >= SEGMENT_IDS:
+                    yield from segments(last=False)
+        yield from segments(last=True)
+
+    map_arrow(ordered, run, _SEGMENT).write.option("compression", "uncompressed").parquet(path)
 
 
 _NO_ID = np.iinfo(np.int64).min
