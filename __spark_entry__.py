@@ -22,29 +22,40 @@ from termloom.operators import tokens as tk  # noqa: E402
 from termloom.operators.lookup import attach_by_doc  # noqa: E402
 from termloom.plans import scoring  # noqa: E402
 from termloom.sinks.report import report  # noqa: E402
+from termloom.sources import stages  # noqa: E402
 from termloom.sources.files import names_from_paths  # noqa: E402
 from termloom.sources.tables import corpus_from, widen  # noqa: E402
 
 try:
     import corpus_pipeline
     from termloom.llm import queries as llm
-except ImportError:  # the subpackage is an option
+except ModuleNotFoundError as missing:
+    # The subpackage is an option; something else that it needs is not.
+    if missing.name not in ("corpus_pipeline", "termloom.llm"):
+        raise
     corpus_pipeline = llm = None
 
 SMALL_BLOCK = 100
+SMALL_CHUNK = 1_024
 WORKERS = 4
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document grain: one row per document."""
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return widen(corpus_from(table, "doc_id", "text"), _cores(spark), "doc")
+    return corpus_from(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
 
 
-def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line grain: one row per turn, the document is the conversation."""
-    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return widen(corpus_from(table, "conv_id", "text"), _cores(spark))
+    return corpus_from(spark.read.parquet(f"{sf_dir}/conversations.parquet"), "conv_id", "text")
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return widen(_raw_documents(spark, sf_dir), _cores(spark), "doc")
+
+
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return widen(_raw_conversations(spark, sf_dir), _cores(spark))
 
 
 def _cores(spark: SparkSession) -> int:
@@ -83,16 +94,39 @@ def _on_conversations(operator: Callable[[DataFrame], DataFrame]):
     return query
 
 
-def _scores(grain: str, strategy: str):
-    def operator(corpus: DataFrame) -> DataFrame:
-        return scoring.score(corpus, grain, strategy).select("doc", "term", "tfidf")
+def _with_heavy_terms(operator: Callable):
+    """``operator`` gets the documents, and the terms to cut into slices, found before the table is spread."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        heavy = totals.heavy_terms(_raw_documents(spark, sf_dir))
+        result = _round(operator(_documents(spark, sf_dir), heavy))
+        return result.withColumnRenamed("doc", "doc_id")
+
+    return query
+
+
+def _scores(strategy: str, **options):
+    def operator(corpus: DataFrame, heavy) -> DataFrame:
+        scored = scoring.score(corpus, "document", strategy, heavy=heavy, **options)
+        return scored.select("doc", "term", "tfidf")
+
+    return _with_heavy_terms(operator)
+
 
-    return operator
+def _line_scores(strategy: str, **options):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        heavy = totals.heavy_terms(_raw_conversations(spark, sf_dir))
+        scored = scoring.score(_conversations(spark, sf_dir), "line", strategy, heavy=heavy, **options)
+        return _round(scored.select(F.col("doc").alias("conv_id"), "term", "tfidf"))
+
+    return query
 
 
-def _score_counts(corpus: DataFrame) -> DataFrame:
+def _score_counts(corpus: DataFrame, heavy) -> DataFrame:
+    """Scores of counts that were written and read again."""
     pairs = counts.term_counts_with_size(corpus)
-    return scoring.score_counts(pairs, corpus).select("doc", "term", "tfidf")
+    saved = stages.save_and_load(pairs)
+    return scoring.score_counts(saved, corpus, heavy).select("doc", "term", "tfidf")
 
 
 def _idf(corpus: DataFrame) -> DataFrame:
@@ -103,9 +137,9 @@ def _tf(corpus: DataFrame) -> DataFrame:
     return combine.tf_table(counts.term_counts_with_size(corpus))
 
 
-def _tf_idf_union(corpus: DataFrame) -> DataFrame:
+def _tf_idf_union(corpus: DataFrame, heavy) -> DataFrame:
     docs = counts.num_docs(corpus).scalar()
-    return combine.stacked_values(scoring.counts_with_totals(corpus, "document"), docs)
+    return combine.stacked_values(scoring.counts_with_totals(corpus, "document", heavy), docs)
 
 
 def _doc_freq_merge(corpus: DataFrame) -> DataFrame:
@@ -118,26 +152,33 @@ def _doc_freq_by_worker(corpus: DataFrame) -> DataFrame:
     return frequency.partial_doc_freq(corpus, worker).withColumnRenamed("part", "worker")
 
 
-def _postings(block_size: int):
-    def operator(corpus: DataFrame) -> DataFrame:
-        return lists.postings(
-            tk.terms_per_row(corpus), frequency.doc_freq(corpus), block_size=block_size
-        )
+def _postings(block_size: int, form: Callable[[DataFrame], DataFrame] = lambda made: made):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = _raw_documents(spark, sf_dir)
+        heavy = totals.heavy_terms(raw)
+        bounds = lists.doc_bounds(raw) if heavy else None
+        pairs = tk.terms_per_row(_documents(spark, sf_dir))
+        made = lists.postings(pairs, block_size, heavy, bounds)
+        return form(made).withColumnRenamed("doc", "doc_id")
 
-    return operator
+    return query
 
 
-def _postings_packed(corpus: DataFrame) -> DataFrame:
+def _packed(made: DataFrame) -> DataFrame:
     packed = keys.pack_postings(F.col("num_docs_with_word"), F.col("docs"))
-    return _postings(lists.BLOCK_SIZE)(corpus).select("term", "block", packed.alias("packed"))
+    return made.select("term", "block", packed.alias("packed"))
 
 
-def _postings_unpack(corpus: DataFrame) -> DataFrame:
+def _unpacked(made: DataFrame) -> DataFrame:
     """Rows out of packed posting lists."""
-    listed = _postings_packed(corpus).select("term", F.explode(keys.postings_docs(F.col("packed"))).alias("doc"))
+    listed = _packed(made).select("term", F.explode(keys.postings_docs(F.col("packed"))).alias("doc"))
     return listed.select("term", F.col("doc").try_cast("bigint").alias("doc"))
 
 
+def _exploded(made: DataFrame) -> DataFrame:
+    return lists.explode_postings(made).select("term", "doc")
+
+
 def _doc_freq_merge_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequency tables of two corpora, each made in one pass, stacked and added up."""
     documents, lines = _documents(spark, sf_dir), _conversations(spark, sf_dir)
@@ -146,13 +187,11 @@ def _doc_freq_merge_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _postings_explode(corpus: DataFrame) -> DataFrame:
-    return lists.explode_postings(_postings(lists.BLOCK_SIZE)(corpus)).select("term", "doc")
-
-
-def _window_sizes(corpus: DataFrame) -> DataFrame:
-    pairs = counts.term_counts(corpus)
-    return totals.with_group_total(pairs, "doc", "term", F.col("word_count"), "doc_size")
+def _window_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heavy = totals.heavy_groups(_raw_documents(spark, sf_dir), "doc", weight=F.octet_length("text"))
+    pairs = counts.term_counts(_documents(spark, sf_dir))
+    sized = totals.with_group_total(pairs, "doc", "term", F.col("word_count"), "doc_size", heavy)
+    return sized.withColumnRenamed("doc", "doc_id")
 
 
 def _line_sizes(corpus: DataFrame) -> DataFrame:
@@ -203,7 +242,9 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "doc_sizes": _on_documents(counts.doc_sizes),
         "doc_sizes_lines": _on_conversations(lambda c: counts.doc_sizes(c, "line")),
         "term_counts_with_size": _on_documents(counts.term_counts_with_size),
-        "term_counts_with_size_window": _on_documents(_window_sizes),
+        "term_counts_with_size_window": _window_sizes,
+        "term_counts_chunked": _on_documents(lambda c: counts.term_counts(c, chunk_bytes=SMALL_CHUNK)),
+        "term_counts_with_size_chunked": _on_documents(lambda c: counts.term_counts_with_size(c, SMALL_CHUNK)),
         "term_counts_with_size_lines": _on_conversations(_line_sizes),
         "vocabulary": _on_documents(counts.vocabulary),
         "doc_freq": _on_documents(frequency.doc_freq),
@@ -211,29 +252,33 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "doc_freq_by_worker": _on_documents(_doc_freq_by_worker),
         "doc_freq_merge": _on_documents(_doc_freq_merge),
         "doc_freq_merge_corpora": _doc_freq_merge_corpora,
-        "postings": _on_documents(_postings(lists.BLOCK_SIZE)),
-        "postings_blocks": _on_documents(_postings(SMALL_BLOCK)),
-        "postings_packed": _on_documents(_postings_packed),
-        "postings_explode": _on_documents(_postings_explode),
-        "postings_unpack": _on_documents(_postings_unpack),
+        "postings": _postings(lists.BLOCK_SIZE),
+        "postings_blocks": _postings(SMALL_BLOCK),
+        "postings_gaps": _postings(SMALL_BLOCK, lists.with_gaps),
+        "postings_from_gaps": _postings(SMALL_BLOCK, lambda made: lists.from_gaps(lists.with_gaps(made))),
+        "postings_packed": _postings(lists.BLOCK_SIZE, _packed),
+        "postings_explode": _postings(lists.BLOCK_SIZE, _exploded),
+        "postings_unpack": _postings(lists.BLOCK_SIZE, _unpacked),
         # weights
         "tf": _on_documents(_tf),
         "idf": _on_documents(_idf),
-        "tf_idf_union": _on_documents(_tf_idf_union),
+        "tf_idf_union": _with_heavy_terms(_tf_idf_union),
         # the composed query, by each strategy and grain
-        "tfidf": _on_documents(_scores("document", "lookup")),
-        "tfidf_record": _on_documents(scoring.score),
-        "tfidf_broadcast": _on_documents(_scores("document", "broadcast")),
-        "tfidf_window": _on_documents(_scores("document", "window")),
-        "tf_idf_join": _on_documents(_scores("document", "join")),
-        "tfidf_product": _on_documents(_scores("document", "product")),
-        "tfidf_counts": _on_documents(_score_counts),
-        "tfidf_lines": _on_conversations(_scores("line", "lookup")),
-        "tfidf_lines_window": _on_conversations(_scores("line", "window")),
+        "tfidf": _scores("window"),
+        "tfidf_record": _with_heavy_terms(lambda corpus, heavy: scoring.score(corpus, heavy=heavy)),
+        "tfidf_window": _scores("window"),
+        "tfidf_lookup": _scores("lookup"),
+        "tfidf_broadcast": _scores("broadcast"),
+        "tf_idf_join": _scores("join"),
+        "tfidf_product": _scores("product"),
+        "tfidf_chunked": _scores("window", chunk_bytes=SMALL_CHUNK),
+        "tfidf_counts": _with_heavy_terms(_score_counts),
+        "tfidf_lines": _line_scores("window"),
+        "tfidf_lines_window": _line_scores("window"),
+        "tfidf_lines_lookup": _line_scores("lookup"),
+        "tfidf_lines_chunked": _line_scores("window", chunk_bytes=SMALL_CHUNK),
         # text forms
-        "tfidf_report": lambda spark, sf_dir: report(
-            scoring.score(_documents(spark, sf_dir))
-        ),
+        "tfidf_report": _with_heavy_terms(lambda corpus, heavy: report(scoring.score(corpus, heavy=heavy))),
         "packed_keys": _on_documents(_packed_keys),
     }
 
@@ -253,12 +298,8 @@ _TFIDF = "(word_count::DOUBLE / doc_size) * ln(num_docs::DOUBLE / num_docs_with_
 
 
 def _blocks(block_size: int) -> str:
-    return f"""SELECT term, num_docs_with_word, doc_id,
-  CASE WHEN num_docs_with_word > {block_size}
-    THEN CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT)
-      % CAST(ceil(num_docs_with_word / {block_size}::DOUBLE) AS BIGINT)
-    ELSE 0 END AS block
-FROM tc JOIN df USING (term)"""
+    rank = "row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1"
+    return f"SELECT term, num_docs_with_word, doc_id, ({rank}) // {block_size} AS block FROM tc JOIN df USING (term)"
 
 
 def _postings_sql(block_size: int, docs: str) -> str:
@@ -278,6 +319,8 @@ def _statistics_sql() -> dict[str, str]:
     scores = f"SELECT doc_id, term, round({_TFIDF}, 10) AS tfidf FROM tc JOIN ds USING (doc_id) JOIN df USING (term), n"
     line_scores = scores.replace("doc_id", "conv_id")
     count_and_docs = "any_value(num_docs_with_word) AS num_docs_with_word, list(doc_id ORDER BY doc_id) AS docs"
+    gaps = """any_value(num_docs_with_word) AS num_docs_with_word, min(doc_id) AS first_doc, max(doc_id) AS last_doc,
+  list_transform(list_zip(list_sort(list(doc_id))[2:], list_sort(list(doc_id))[:-2]), lambda p: p[1] - p[2]) AS gaps"""
     packed = "any_value(num_docs_with_word) || '/' || string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS packed"
     return {
         "num_docs": "SELECT count(*) AS num_docs FROM documents",
@@ -303,6 +346,8 @@ def _statistics_sql() -> dict[str, str]:
         "doc_freq_merge": d + "SELECT term, num_docs_with_word FROM df",
         "postings": _postings_sql(lists.BLOCK_SIZE, count_and_docs),
         "postings_blocks": _postings_sql(SMALL_BLOCK, count_and_docs),
+        "postings_gaps": _postings_sql(SMALL_BLOCK, gaps),
+        "postings_from_gaps": _postings_sql(SMALL_BLOCK, count_and_docs),
         "postings_packed": _postings_sql(lists.BLOCK_SIZE, packed),
         "postings_explode": d + "SELECT term, doc_id FROM tc",
         "postings_unpack": d + "SELECT term, doc_id FROM tc",
@@ -321,6 +366,12 @@ SELECT doc_id, term, round(ln(num_docs::DOUBLE / num_docs_with_word), 10) AS val
         "tfidf_record": d
         + f"""SELECT doc_id, term, word_count, doc_size, num_docs, num_docs_with_word, round({_TFIDF}, 10) AS tfidf
 FROM tc JOIN ds USING (doc_id) JOIN df USING (term), n""",
+        "tfidf_lookup": d + scores,
+        "tfidf_chunked": d + scores,
+        "tfidf_lines_lookup": c + line_scores,
+        "tfidf_lines_chunked": c + line_scores,
+        "term_counts_chunked": d + "SELECT doc_id, term, word_count FROM tc",
+        "term_counts_with_size_chunked": d + "SELECT doc_id, term, word_count, doc_size FROM tc JOIN ds USING (doc_id)",
         "tfidf_broadcast": d + scores,
         "tfidf_window": d + scores,
         "tfidf_counts": d + scores,

@@ -1,5 +1,6 @@
 """Corpus statistics and term weighting on Spark DataFrames."""
 
+from termloom.operators.chunks import bounded_lines
 from termloom.operators.counts import (
     doc_sizes,
     num_docs,
@@ -18,6 +19,7 @@ from termloom.sources.stages import load_stage, save_stage
 from termloom.sources.tables import corpus_from, widen
 
 __all__ = [
+    "bounded_lines",
     "build_session",
     "corpus_from",
     "doc_freq",

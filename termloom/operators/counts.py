@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import has_terms, terms_of
+from termloom.operators.chunks import bounded_lines, is_long
+from termloom.operators.lookup import attach_by_doc
 from termloom.operators.tokens import terms_per_row, tokenize
 
 GRAINS = ("document", "line")
@@ -37,8 +39,8 @@ def num_docs(corpus: DataFrame, grain: str = "document") -> DataFrame:
     return corpus.agg(docs.alias("num_docs"))
 
 
-def term_counts_with_size(corpus: DataFrame) -> DataFrame:
-    """``(doc, term, word_count, doc_size)`` at document grain, without a shuffle.
+def _runs(rows: DataFrame) -> DataFrame:
+    """``(doc, term, word_count, doc_size)``: the distinct terms of each row of ``(doc, text)``, and its number of terms.
 
     Terms hold no blank, so a text's terms can be sorted and written as one
     string, each followed by a blank. Equal terms are then neighbours, one
@@ -46,7 +48,7 @@ def term_counts_with_size(corpus: DataFrame) -> DataFrame:
     run tells how many there are. All of it compiles into one stage.
     """
     sorted_terms = (
-        corpus.select("doc", F.sort_array(terms_of("text")).alias("terms"))
+        rows.select("doc", F.sort_array(terms_of("text")).alias("terms"))
         .select(
             "doc",
             F.size("terms").cast("bigint").alias("doc_size"),
@@ -65,14 +67,47 @@ def term_counts_with_size(corpus: DataFrame) -> DataFrame:
     )
 
 
-def term_counts(corpus: DataFrame, grain: str = "document") -> DataFrame:
-    """``(doc, term, word_count)``: one row per distinct pair."""
+def line_counts(corpus: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
+    """``(doc, term, word_count)`` of each line, or of each chunk of a long one; nothing is shuffled."""
+    lines = corpus.where("doc IS NOT NULL")
+    return _runs(lines if chunk_bytes is None else bounded_lines(lines, chunk_bytes)).drop("doc_size")
+
+
+def term_counts_with_size(corpus: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
+    """``(doc, term, word_count, doc_size)`` at document grain, without a shuffle.
+
+    With ``chunk_bytes``, texts beyond that many bytes are counted in chunks, and only
+    their counts meet in a shuffle; the corpus is then scanned once for the short texts
+    and once for the long ones, and the sizes of the latter are looked up.
+    """
+    if chunk_bytes is None:
+        return _runs(corpus)
+    long = is_long(F.col("text"), chunk_bytes)
+    merged = line_counts(corpus.where(long), chunk_bytes).groupBy("doc", "term").agg(
+        F.sum("word_count").alias("word_count")
+    )
+    sized = attach_by_doc(merged, sizes_of_counts(merged), "doc_size")
+    return _runs(corpus.where(~long)).unionByName(sized)
+
+
+def term_counts(corpus: DataFrame, grain: str = "document", chunk_bytes: int | None = None) -> DataFrame:
+    """``(doc, term, word_count)``: one row per distinct pair.
+
+    ``chunk_bytes`` bounds what a task has of one row of the corpus at a time.
+    """
     check_grain(grain)
+    if grain == "document" and chunk_bytes is None:
+        return _runs(corpus).drop("doc_size")
     if grain == "document":
-        return term_counts_with_size(corpus).drop("doc_size")
+        long = is_long(F.col("text"), chunk_bytes)
+        merged = line_counts(corpus.where(long), chunk_bytes).groupBy("doc", "term")
+        counted = merged.agg(F.sum("word_count").alias("word_count"))
+        return _runs(corpus.where(~long)).drop("doc_size").unionByName(counted)
     # A line without a document belongs to none. The filter stands here, in every
     # use of the counts, because joins on the document would add it to some.
     lines = corpus.where("doc IS NOT NULL")
+    if chunk_bytes is not None:
+        lines = bounded_lines(lines, chunk_bytes)
     return tokenize(lines).groupBy("doc", "term").agg(F.count("*").alias("word_count"))
 
 

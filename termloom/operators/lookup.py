@@ -7,7 +7,7 @@ which the lookup table has anyway, and take another way:
 
 * A key whose count is over 1/HOT_KEYS of the total is hot. Counts add up to
   the total, so there are fewer than HOT_KEYS hot keys, at any data size; a hot
-  key beyond HOT_KEY_BYTES stands there as its digest, so the hot part of the
+  key beyond KEY_BYTES stands there as its digest, so the hot part of the
   table is bounded in bytes too. It is broadcast.
 * All other keys are looked up by a shuffled join.
   Rows already served by the broadcast pass through it under keys that match
@@ -27,8 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.operators.totals import brief
+
 HOT_KEYS = 10_000
-HOT_KEY_BYTES = 1_024
 # Number of different keys that rows already served are spread over.
 SPREAD = 1_000_000
 
@@ -37,24 +38,12 @@ def _hot_part(table: DataFrame, key: str, weight: str, values: list[str], hot_ke
     """The hot keys of ``table``, fewer than ``hot_keys``, with values named ``hot_*``."""
     share = table.agg((F.sum(weight) / F.lit(hot_keys)).alias("share")).scalar()
     return table.where(F.col(weight) > share).select(
-        _brief(key).alias("hot_key"), *(F.col(v).alias(f"hot_{v}") for v in values)
+        brief(F.col(key)).alias("hot_key"), *(F.col(v).alias(f"hot_{v}") for v in values)
     )
 
 
-def _brief(key: str) -> Column:
-    """A key as marked text, a long one as its digest after a blank, which no term begins with.
-
-    It is never NULL, so the join puts no filter on it below the count, and both
-    sides of the lookup share the count.
-    """
-    text = F.col(key).cast("string")
-    long = F.concat(F.lit(" "), F.sha2(text, 256))
-    short = F.coalesce(F.octet_length(text), F.lit(0)) <= F.lit(HOT_KEY_BYTES)
-    return F.concat_ws("=", F.lit(""), F.when(short, text).otherwise(long))
-
-
 def _with_hot(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    return rows.join(F.broadcast(hot), _brief(key) == F.col("hot_key"), "left").drop("hot_key")
+    return rows.join(F.broadcast(hot), brief(F.col(key)) == F.col("hot_key"), "left").drop("hot_key")
 
 
 def _hinted(table: DataFrame, join_hint: str | None) -> DataFrame:

@@ -2,23 +2,27 @@
 
     tfidf = word_count / doc_size * ln(num_docs / num_docs_with_word)
 
-All strategies give the same rows. They differ in how ``num_docs_with_word``
-finds its way to the pairs:
-
-``lookup`` (default)
-    Shuffled lookup with the hot terms broadcast. One shuffle of the pairs.
+They differ in how ``num_docs_with_word`` finds its way to the pairs:
+
+``window`` (default)
+    Texts are read and cut into terms once, and the pairs shuffled once, by term and
+    slice; frequencies are totals over what lies together then. Terms that would
+    unbalance this shuffle are found in a bounded sample first, by a small job that
+    runs when this is called, and cut into slices.
+``lookup``
+    A frequency table, and a shuffled lookup with the hot terms broadcast. Texts are
+    read twice; hot terms come from exact counts.
 ``broadcast``
     The whole vocabulary broadcast; no shuffle of the pairs. Its size is measured
     first, by a job that runs when this is called, and a vocabulary that is too
     large is refused.
-``window``
-    Totals over salted groups.
 ``join``
     TF and IDF tables joined on (document, term).
 ``product``
     TF and IDF tables stacked and multiplied per (document, term).
 
-``lookup``, ``broadcast`` and ``window`` return all columns of the record; the
+On a corpus in which documents are as the grain says, all give the same rows.
+``window``, ``lookup`` and ``broadcast`` return all columns of the record; the
 other two return ``doc``, ``term`` and ``tfidf``.
 """
 
@@ -35,8 +39,11 @@ from termloom.operators.combine import (
     stacked_values,
     tf_table,
 )
+from termloom.operators.chunks import bounded_lines
 from termloom.operators.counts import (
     check_grain,
+    doc_sizes,
+    line_counts,
     num_docs,
     sizes_of_counts,
     term_counts,
@@ -45,9 +52,9 @@ from termloom.operators.counts import (
 from termloom.operators.frequency import doc_freq, doc_freq_of_counts
 from termloom.operators.lookup import attach_by_doc, attach_by_term
 from termloom.operators.tokens import terms_per_row
-from termloom.operators.totals import with_group_total
+from termloom.operators.totals import Heavy, heavy_groups, heavy_terms, keys_of, sliced, total_of_slices, with_group_total
 
-STRATEGIES = ("lookup", "broadcast", "window", "join", "product")
+STRATEGIES = ("window", "lookup", "broadcast", "join", "product")
 
 # A broadcast is held by every executor and built by the driver.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -73,17 +80,32 @@ def counts_and_frequency(
     return sized, doc_freq_of_counts(counts)
 
 
-def counts_with_totals(corpus: DataFrame, grain: str) -> DataFrame:
-    """``(doc, term, word_count, doc_size, num_docs_with_word)`` by group totals."""
+def merged_line_counts(corpus: DataFrame, heavy: Heavy | None = None, chunk_bytes: int | None = None) -> DataFrame:
+    """``(doc, term, word_count)`` lying by term and slice; texts are read once, rows shuffled once.
+
+    Lines are counted where they are read, and their counts added up behind the shuffle.
+    """
+    parts = line_counts(corpus, chunk_bytes)
+    dealt = sliced(parts, "term", "doc", heavy) if heavy else parts.repartition("term")
+    return dealt.groupBy(*keys_of(dealt, "term"), "doc").agg(F.sum("word_count").alias("word_count"))
+
+
+def counts_with_totals(
+    corpus: DataFrame, grain: str, heavy: Heavy | None = None, chunk_bytes: int | None = None
+) -> DataFrame:
+    """``(doc, term, word_count, doc_size, num_docs_with_word)`` by group totals.
+
+    At document grain texts are read once and pairs shuffled once. At line grain, and for
+    chunks, the sizes of documents come from a second reading, which counts terms and
+    shuffles a row for each document and task; they are looked up by a second shuffle of
+    the pairs.
+    """
     total = "num_docs_with_word"
-    if grain == "document":
-        counts = term_counts_with_size(corpus)
-        return with_group_total(counts, "term", "doc", F.lit(1), total)
-    counts = term_counts(corpus, grain)
-    sized = with_group_total(counts, "doc", "term", F.col("word_count"), "doc_size")
-    # Always 1; naming word_count lets both totals use one shuffle of the counts.
-    one = F.when(F.col("word_count") > 0, 1)
-    return with_group_total(sized, "term", "doc", one, total, counts)
+    if grain == "document" and chunk_bytes is None:
+        return with_group_total(term_counts_with_size(corpus), "term", "doc", F.lit(1), total, heavy)
+    held = total_of_slices(merged_line_counts(corpus, heavy, chunk_bytes), "term", F.lit(1), total)
+    lines = corpus if chunk_bytes is None else bounded_lines(corpus, chunk_bytes)
+    return attach_by_doc(held.select("doc", "term", "word_count", total), doc_sizes(lines, "line"), "doc_size")
 
 
 def fits_broadcast(frequency: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -104,21 +126,23 @@ def _counts_with_lookup(
     return attach_by_term(counts, frequency, "num_docs_with_word", join_hint=join_hint)
 
 
-def idf_of_pairs(pairs: DataFrame, docs: Column) -> DataFrame:
+def idf_of_pairs(pairs: DataFrame, docs: Column, heavy: Heavy | None = None) -> DataFrame:
     """``(doc, term, idf)`` for every distinct pair; frequencies are totals over the pairs."""
     total = "num_docs_with_word"
-    held = with_group_total(pairs.select("doc", "term"), "term", "doc", F.lit(1), total)
+    held = with_group_total(pairs.select("doc", "term"), "term", "doc", F.lit(1), total, heavy)
     return idf_table(held, docs)
 
 
 def score(
     corpus: DataFrame,
     grain: str = "document",
-    strategy: str = "lookup",
+    strategy: str = "window",
     documents: DataFrame | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
     join_hint: str | None = None,
     check: bool = False,
+    heavy: Heavy | None = None,
+    chunk_bytes: int | None = None,
 ) -> DataFrame:
     """Score a corpus of ``(doc, text)``; see the module's text for strategies.
 
@@ -129,7 +153,11 @@ def score(
     ``documents`` is a table with one row per document, if there is one that is
     cheaper to count than the corpus (``list_documents`` for files).
     ``join_hint`` is a Spark join hint for the shuffled lookups; see
-    ``termloom.operators.lookup`` for when ``"shuffle_hash"`` fits.
+    ``termloom.operators.lookup`` for when ``"shuffle_hash"`` fits. ``heavy`` are the
+    ``heavy_terms`` of the corpus, found here unless given.
+
+    ``chunk_bytes`` is for the strategies ``window`` and ``product``: rows with longer
+    texts are counted in chunks, so that a task never has the terms of a whole one.
 
     Columns: ``doc, term, word_count, doc_size, num_docs, num_docs_with_word,
     tfidf``. Terms that are in every document score 0 and are kept.
@@ -143,16 +171,22 @@ def score(
     counted = num_docs(corpus, grain) if documents is None else num_docs(documents)
     docs = counted.scalar()
 
+    if strategy in ("lookup", "broadcast", "join"):
+        if chunk_bytes is not None:
+            raise ValueError("chunk_bytes needs strategy 'window' or 'product'")
+    if strategy in ("window", "join", "product") and heavy is None:
+        heavy = heavy_terms(corpus)
+
     if strategy == "join":
         counts, _ = counts_and_frequency(corpus, grain)
         pairs = terms_per_row(corpus) if grain == "document" else counts
-        return join_values(tf_table(counts), idf_of_pairs(pairs, docs))
+        return join_values(tf_table(counts), idf_of_pairs(pairs, docs, heavy))
 
     if strategy == "product":
-        return product_of_values(stacked_values(counts_with_totals(corpus, grain), docs))
+        return product_of_values(stacked_values(counts_with_totals(corpus, grain, heavy, chunk_bytes), docs))
 
     if strategy == "window":
-        matched = counts_with_totals(corpus, grain)
+        matched = counts_with_totals(corpus, grain, heavy, chunk_bytes)
     else:
         matched = _counts_with_lookup(
             corpus, grain, strategy, max_broadcast_bytes, join_hint
@@ -160,14 +194,19 @@ def score(
     return _scored(matched, docs)
 
 
-def score_counts(counts: DataFrame, documents: DataFrame) -> DataFrame:
+def score_counts(counts: DataFrame, documents: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Score saved counts: ``(doc, term, word_count, doc_size)``, as ``score`` does.
 
     For jobs that write ``term_counts_with_size`` once and read it again, so that
     texts are cut into terms once only. ``documents`` has one row per document,
-    those without terms too.
+    those without terms too. Counts of ``save_counts`` lie by term already and are not
+    shuffled; others are, once.
     """
-    matched = attach_by_term(counts, doc_freq_of_counts(counts), "num_docs_with_word")
+    if "slice" in counts.columns:
+        matched = total_of_slices(counts, "term", F.lit(1), "num_docs_with_word")
+    else:
+        heavy = heavy_groups(counts, "term") if heavy is None else heavy
+        matched = with_group_total(counts, "term", "doc", F.lit(1), "num_docs_with_word", heavy)
     return _scored(matched, num_docs(documents).scalar())
 
 

@@ -7,6 +7,10 @@ quoting, and quoting is off because terms may hold quotes.
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -35,3 +39,29 @@ def load_stage(spark: SparkSession, path: str, text_schema: str | StructType | N
     if text_schema is None:
         return spark.read.parquet(path)
     return spark.read.schema(text_schema).options(**_TEXT, mode="FAILFAST").csv(path)
+
+
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="termloom-stages-")
+
+
+def stage_path(spark: SparkSession) -> str:
+    """A new path under ``spark.checkpoint.dir``, which driver and executors share.
+
+    A local session without that setting gets a temporary folder; anywhere else its
+    absence is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _own_folder()
+    return f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
+
+
+def save_and_load(table: DataFrame) -> DataFrame:
+    """``table`` written once as a stage of its own, and read from there."""
+    path = stage_path(table.sparkSession)
+    save_stage(table, path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
