@@ -129,6 +129,31 @@ def _score_counts(corpus: DataFrame, heavy) -> DataFrame:
     return scoring.score_counts(saved, corpus, heavy).select("doc", "term", "tfidf")
 
 
+def _score_buckets(by_frequency: bool):
+    """Scores of counts that were saved by term; by a saved frequency table, or by totals over the counts."""
+
+    def operator(corpus: DataFrame, heavy) -> DataFrame:
+        spark, buckets = corpus.sparkSession, _cores(corpus.sparkSession)
+        path = stages.stage_path(spark)
+        name = f"termloom_{path.rsplit('-', 1)[-1]}"
+        heavy = None if by_frequency else heavy
+        stages.save_counts(counts.term_counts_with_size(corpus), f"{name}_counts", buckets, heavy, f"{path}/counts")
+        saved = spark.table(f"{name}_counts")
+        if not by_frequency:
+            return scoring.score_counts(saved, corpus, {}).select("doc", "term", "tfidf")
+        stages.save_frequency(frequency.doc_freq_of_counts(saved), f"{name}_frequency", buckets, f"{path}/frequency")
+        return scoring.score_with_frequency(saved, spark.table(f"{name}_frequency"), corpus).select("doc", "term", "tfidf")
+
+    return _with_heavy_terms(operator)
+
+
+def _doc_freq_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequencies of documents and conversations, from which the conversations are taken again."""
+    documents, lines = _documents(spark, sf_dir), _conversations(spark, sf_dir)
+    both = frequency.merge_doc_freq(frequency.doc_freq(documents), frequency.doc_freq(lines, "line"))
+    return frequency.updated_doc_freq(both, frequency.doc_freq_changes(removed=lines, grain="line"))
+
+
 def _idf(corpus: DataFrame) -> DataFrame:
     return combine.idf_table(frequency.doc_freq(corpus), counts.num_docs(corpus).scalar())
 
@@ -252,6 +277,7 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "doc_freq_by_worker": _on_documents(_doc_freq_by_worker),
         "doc_freq_merge": _on_documents(_doc_freq_merge),
         "doc_freq_merge_corpora": _doc_freq_merge_corpora,
+        "doc_freq_updated": _doc_freq_updated,
         "postings": _postings(lists.BLOCK_SIZE),
         "postings_blocks": _postings(SMALL_BLOCK),
         "postings_gaps": _postings(SMALL_BLOCK, lists.with_gaps),
@@ -273,6 +299,8 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tfidf_product": _scores("product"),
         "tfidf_chunked": _scores("window", chunk_bytes=SMALL_CHUNK),
         "tfidf_counts": _with_heavy_terms(_score_counts),
+        "tfidf_counts_bucketed": _score_buckets(by_frequency=False),
+        "tfidf_frequency_bucketed": _score_buckets(by_frequency=True),
         "tfidf_lines": _line_scores("window"),
         "tfidf_lines_window": _line_scores("window"),
         "tfidf_lines_lookup": _line_scores("lookup"),
@@ -375,6 +403,9 @@ FROM tc JOIN ds USING (doc_id) JOIN df USING (term), n""",
         "tfidf_broadcast": d + scores,
         "tfidf_window": d + scores,
         "tfidf_counts": d + scores,
+        "tfidf_counts_bucketed": d + scores,
+        "tfidf_frequency_bucketed": d + scores,
+        "doc_freq_updated": d + "SELECT term, num_docs_with_word FROM df",
         "tf_idf_join": d + scores,
         "tfidf_product": d + scores,
         "tfidf_lines": c + line_scores,

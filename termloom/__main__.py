@@ -21,17 +21,26 @@ def score_files(
     source: str | list[str],
     target: str,
     grain: str = "document",
-    strategy: str = "lookup",
+    strategy: str = "window",
     doc_key: str = "name",
     glob: str | None = None,
     order: str = "total",
     places: int = 10,
+    manifest: str | None = None,
+    chunk_bytes: int | None = None,
 ) -> None:
-    """Read a directory of text files, score it, write the report."""
+    """Read a directory of text files, score it, write the report.
+
+    ``manifest`` is a Parquet table, or else a text file of a name a line, that names all documents.
+    """
     read = read_documents if grain == "document" else read_lines
-    corpus = read(spark, source, doc_key, glob)
-    documents = list_documents(spark, source, doc_key, glob)
-    scores = score(corpus, grain, strategy, documents)
+    names = None
+    if manifest is not None:
+        parquet = manifest.rstrip("/").endswith(".parquet")
+        names = spark.read.parquet(manifest) if parquet else spark.read.text(manifest).toDF("doc")
+    corpus = read(spark, source, doc_key, glob, names)
+    documents = list_documents(spark, source, doc_key, glob) if names is None else names.select("doc").distinct()
+    scores = score(corpus, grain, strategy, documents, chunk_bytes=chunk_bytes)
     write_report(report(scores, places, order), target)
 
 
@@ -40,11 +49,13 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("input", nargs="+", help="directories or files")
     parser.add_argument("output", help="directory of the report, replaced if it exists")
     parser.add_argument("--grain", choices=("document", "line"), default="document")
-    parser.add_argument("--strategy", choices=STRATEGIES, default="lookup")
+    parser.add_argument("--strategy", choices=STRATEGIES, default="window")
     parser.add_argument("--doc-key", choices=("name", "path"), default="name")
     parser.add_argument("--glob", help="keep only matching file names, e.g. 'doc*'")
     parser.add_argument("--order", choices=ORDERS, default="total")
     parser.add_argument("--places", type=int, default=10)
+    parser.add_argument("--manifest", help="a table or file that names all documents, in place of a listing")
+    parser.add_argument("--chunk-bytes", type=int, help="count texts beyond so many bytes in chunks")
     options = parser.parse_args(arguments)
 
     score_files(
@@ -57,6 +68,8 @@ def main(arguments: list[str] | None = None) -> None:
         options.glob,
         options.order,
         options.places,
+        options.manifest,
+        options.chunk_bytes,
     )
 
 

@@ -36,7 +36,8 @@ def doc_bounds(pairs: DataFrame, ranges: int = RANGES) -> list:
     docs = pairs.select("doc").where("doc IS NOT NULL").rdd
     count = docs.getNumPartitions()
     chosen = sorted({k * count // SAMPLED_PARTITIONS for k in range(SAMPLED_PARTITIONS)}) if count else []
-    found = docs.context.runJob(docs, lambda part: [r[0] for r in islice(part, _SAMPLED_DOCS)], chosen)
+    most = _SAMPLED_DOCS
+    found = docs.context.runJob(docs, lambda part: [r[0] for r in islice(part, most)], chosen)
     found = sorted(set(found))
     step = max(1, len(found) // ranges)
     return found[step::step][: ranges - 1]

@@ -80,9 +80,16 @@ def heavy_terms(corpus: DataFrame, partitions: int | None = None) -> Heavy:
     """
     partitions = partitions or shuffle_partitions(corpus)
     texts = corpus.select(F.substring("text", 1, SAMPLED_CHARACTERS)).rdd
-    count = texts.getNumPartitions()
-    chosen = sorted({k * count // SAMPLED_PARTITIONS for k in range(SAMPLED_PARTITIONS)}) if count else []
-    found = texts.context.runJob(texts, _count_terms, chosen)
+    parts = texts.getNumPartitions()
+    chosen = sorted({k * parts // SAMPLED_PARTITIONS for k in range(SAMPLED_PARTITIONS)}) if parts else []
+    most, pattern = SAMPLED_DOCS, TERM_PATTERN
+
+    def count(rows) -> list[Counter]:
+        """How many of the sampled rows hold each term."""
+        cut = re.compile(pattern).findall
+        return [Counter(t for (text,) in islice(rows, most) for t in set(cut(text or "")))]
+
+    found = texts.context.runJob(texts, count, chosen)
     counts = sum(found, Counter())
     total = counts.total()
     # Once or twice shows nothing.
@@ -90,12 +97,6 @@ def heavy_terms(corpus: DataFrame, partitions: int | None = None) -> Heavy:
     return _shares({_brief(t): n for t, n in counts.items() if n > least}, total, partitions)
 
 
-def _count_terms(rows) -> list[Counter]:
-    """How many of the sampled rows hold each term."""
-    cut = re.compile(TERM_PATTERN).findall
-    return [Counter(t for (text,) in islice(rows, SAMPLED_DOCS) for t in set(cut(text or "")))]
-
-
 def _brief(term: str) -> str:
     """As ``brief`` writes a term."""
     data = term.encode()

@@ -200,7 +200,7 @@ def score_counts(counts: DataFrame, documents: DataFrame, heavy: Heavy | None =
     For jobs that write ``term_counts_with_size`` once and read it again, so that
     texts are cut into terms once only. ``documents`` has one row per document,
     those without terms too. Counts of ``save_counts`` lie by term already and are not
-    shuffled; others are, once.
+    shuffled (``heavy={}`` says that no look for heavy terms is needed); others are, once.
     """
     if "slice" in counts.columns:
         matched = total_of_slices(counts, "term", F.lit(1), "num_docs_with_word")
@@ -210,6 +210,16 @@ def score_counts(counts: DataFrame, documents: DataFrame, heavy: Heavy | None =
     return _scored(matched, num_docs(documents).scalar())
 
 
+def score_with_frequency(counts: DataFrame, frequency: DataFrame, documents: DataFrame) -> DataFrame:
+    """Score saved counts by a saved frequency table, for example one that is kept up to date.
+
+    Tables of ``save_counts`` (without heavy terms) and ``save_frequency`` with as many
+    buckets are joined where they lie.
+    """
+    matched = counts.join(frequency.select("term", "num_docs_with_word"), "term")
+    return _scored(matched, num_docs(documents).scalar())
+
+
 def _scored(matched: DataFrame, docs: Column) -> DataFrame:
     weight = tfidf(
         F.col("word_count"), F.col("doc_size"), F.col("num_docs"), F.col("num_docs_with_word")

@@ -1,14 +1,20 @@
 """Directories of text files, one document per file.
 
-Spark's file sources leave out zero-byte files, but a document without words
-still counts in the number of documents. Spark's own listing names those files,
-so they are put back with an empty text.
+Spark's file sources leave out zero-byte files, but a document without words still
+counts in the number of documents. Directories are therefore listed as a table, by
+tasks on the executors: names and sizes, zero-byte files among them. No name comes to
+the driver's Python; whether two files have one name is a question to that table.
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+import fnmatch
+import os
+from collections.abc import Iterator
+from itertools import islice
+from urllib.parse import unquote, urlsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,27 +43,108 @@ def _options(glob: str | None) -> dict[str, str]:
     return {"pathGlobFilter": glob} if glob else {}
 
 
+# Files that a listing task gives back at once.
+_LISTED_ROWS = 10_000
+_LISTED = "path string, name string, size bigint"
+
+
+def _lister(glob: str | None):
+    """What lists directories in a task. It carries all it needs: executors need not have this package."""
+    most = _LISTED_ROWS
+
+    def entries(place: str) -> Iterator[tuple[str, str, int]]:
+        """Path, name and size of a directory's files, or of a file. Mounted folders are read as a stream."""
+        parts = urlsplit(place)
+        if parts.scheme in ("", "file"):
+            folder = os.path.abspath(unquote(parts.path) if parts.scheme else place)
+            if os.path.isfile(folder):
+                yield f"file:{folder}", os.path.basename(folder), os.path.getsize(folder)
+                return
+            with os.scandir(folder) as found:
+                for entry in found:
+                    if entry.is_file():
+                        yield f"file:{entry.path}", entry.name, entry.stat().st_size
+            return
+        from pyarrow import fs
+
+        system, folder = fs.FileSystem.from_uri(place)
+        info = system.get_file_info(folder)
+        found = [info] if info.is_file else system.get_file_info(fs.FileSelector(folder))
+        for entry in found:
+            if entry.is_file:
+                yield f"{parts.scheme}://{parts.netloc}/{entry.path.split('/', 1)[-1]}", entry.base_name, entry.size
+
+    def is_document(name: str) -> bool:
+        """Spark's file sources leave out hidden names, and so does this."""
+        hidden = name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+        return not hidden and (glob is None or fnmatch.fnmatchcase(name, glob))
+
+    def listed(batches):
+        for batch in batches:
+            for place in batch["place"].to_pylist():
+                found = (e for e in entries(place) if is_document(e[1]))
+                while rows := list(islice(found, most)):
+                    columns = [pa.array(c) for c in zip(*rows)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["path", "name", "size"])
+
+    return listed
+
+
+def _is_plain(places: list[str], glob: str | None) -> bool:
+    """Whether tasks can list this themselves: stores that Arrow knows, and no patterns but simple ones for names."""
+    schemes = {urlsplit(p).scheme for p in places}
+    simple = glob is None or not set(glob) & set("{}[]\\")
+    return schemes <= {"", "file", "hdfs", "s3", "gs"} and simple and not any(set(p) & set("*?[]{}") for p in places)
+
+
+def list_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """``(path, name, size)`` of every file of some directories, zero-byte ones included.
+
+    Directories are dealt to tasks, which list them; hidden files and sub-directories
+    are left out, ``glob`` keeps matching names only. No file is opened.
+    """
+    places = [path] if isinstance(path, str) else list(path)
+
+    table = spark.createDataFrame([(p,) for p in places], "place string")
+    return table.repartition(len(places), "place").mapInArrow(_lister(glob), _LISTED)
+
+
 def list_documents(
     spark: SparkSession, path: str | list[str], doc_key: str = "name", glob: str | None = None
 ) -> DataFrame:
     """``doc`` of every file, zero-byte ones included; no file is opened.
 
     ``doc_key="name"`` calls a document by its file name and refuses two files
-    of one name; ``doc_key="path"`` calls it by its whole path. Hidden files
-    and sub-directories are not documents. ``glob`` keeps matching names only.
+    of one name, by a job over the names; ``doc_key="path"`` calls it by its whole
+    path. Hidden files and sub-directories are not documents. ``glob`` keeps
+    matching names only.
 
-    The names come from the file listing that Spark's driver makes for any
-    directory it reads.
+    Patterns in paths, and stores that only Spark can read, are listed by Spark's
+    driver.
     """
+    return _listed_documents(spark, path, doc_key, glob).select("doc")
+
+
+def _listed_documents(spark, path, doc_key: str, glob: str | None) -> DataFrame:
+    """``(doc, size)``; the size is null where Spark's driver made the list."""
     if doc_key not in ("name", "path"):
         raise ValueError(f"doc_key must be 'name' or 'path', not {doc_key!r}")
-    listed = spark.read.text(path, wholetext=True, **_options(glob)).inputFiles()
-    names = [_name(p, doc_key) for p in listed]
-    if len(set(names)) < len(names):
-        seen: set[str] = set()
-        twice = next(n for n in names if n in seen or seen.add(n))
-        raise ValueError(f"two files are called {twice!r}; use doc_key='path'")
-    return spark.createDataFrame([(n,) for n in names], "doc string")
+    places = [path] if isinstance(path, str) else list(path)
+    if _is_plain(places, glob):
+        files = list_files(spark, places, glob)
+        clean = F.regexp_replace("path", "^file:/+", "file:/")
+        listed = files.select((F.col("name") if doc_key == "name" else clean).alias("doc"), "size")
+    else:
+        names = [_name(p, doc_key) for p in spark.read.text(path, wholetext=True, **_options(glob)).inputFiles()]
+        listed = spark.createDataFrame([(n, None) for n in names], "doc string, size bigint")
+    _refuse_twice(listed)
+    return listed
+
+
+def _refuse_twice(listed: DataFrame) -> None:
+    twice = listed.groupBy("doc").count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"two files are called {twice.doc!r}; use doc_key='path'")
 
 
 def _with_empty_documents(
@@ -66,11 +153,17 @@ def _with_empty_documents(
     doc_key: str,
     glob: str | None,
     manifest: DataFrame | None,
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     spark = read.sparkSession
-    every = manifest.select("doc") if manifest is not None else list_documents(
-        spark, path, doc_key, glob
-    )
+    if manifest is None:
+        listed = _listed_documents(spark, path, doc_key, glob) if listed is None else listed
+        if _is_plain([path] if isinstance(path, str) else list(path), glob):
+            empty = listed.where("size = 0").select("doc", F.lit("").alias("text"))
+            return read.unionByName(empty)
+        every = listed.select("doc")
+    else:
+        every = manifest.select("doc").distinct()
     # Without its content column this source looks at file names only.
     filled = (
         spark.read.format("binaryFile")
@@ -79,10 +172,8 @@ def _with_empty_documents(
         .select(_doc_column(doc_key).alias("doc"))
     )
     if manifest is not None:
-        every = every.distinct()
-        twice = filled.groupBy("doc").count().where("count > 1").first() if doc_key == "name" else None
-        if twice is not None:
-            raise ValueError(f"two files are called {twice.doc!r}; use doc_key='path'")
+        if doc_key == "name":
+            _refuse_twice(filled)
         read = read.join(every, "doc", "left_semi")
     empty = every.join(filled, "doc", "left_anti").select("doc", F.lit("").alias("text"))
     return read.unionByName(empty)
@@ -98,7 +189,7 @@ def read_documents(
     """Document grain: one row per file, ``(doc, text)``.
 
     ``manifest`` is a table with a ``doc`` column that names all documents; it
-    replaces the driver's listing where there are very many files. Files that it
+    replaces the listing. Files that it
     does not name are left out; two files of one name are refused, by a job over
     the names.
     """

@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from termloom.operators.totals import Heavy, sliced
+
 _TEXT = {
     "sep": "\t",
     "quote": "",
@@ -65,3 +67,26 @@ def save_and_load(table: DataFrame) -> DataFrame:
     path = stage_path(table.sparkSession)
     save_stage(table, path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def save_counts(counts: DataFrame, table: str, buckets: int, heavy: Heavy | None = None, path: str | None = None) -> None:
+    """Save ``(doc, term, ...)`` as a table bucketed and sorted by term, replacing what is there.
+
+    ``score_counts`` needs no shuffle of it, however often it is run. ``heavy`` terms
+    are cut into slices, which the table keeps as columns, so no bucket holds the whole
+    of one. ``path`` puts the files there in place of the warehouse.
+    """
+    dealt = sliced(counts, "term", "doc", heavy)
+    by = ["term", "slice"] if heavy else ["term"]
+    writer = dealt.repartition(buckets, *by).write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
+def save_frequency(frequency: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Save ``(term, num_docs_with_word)`` by buckets, as ``save_counts`` does: a join of both moves neither."""
+    writer = frequency.repartition(buckets, "term").write.mode("overwrite").bucketBy(buckets, "term").sortBy("term")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)

@@ -203,3 +203,42 @@ def test_command_line(spark, mixed, tmp_path, grain):
     main([mixed, target, "--grain", grain, "--places", "4"])
     # ln(3) * 2/3 and ln(3) * 1/3
     assert lines_of(target) == ["doc1@a\t0.7324", "doc1@b\t0.3662"]
+
+
+def test_very_many_files_are_listed_by_a_task(spark, tmp_path):
+    from termloom.sources.files import list_files
+
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(20_000):
+        (folder / f"doc{k}").touch()
+    (folder / "doc7").write_text("abc")
+    (folder / "_hidden").touch()
+    (folder / "sub").mkdir()
+    listed = list_files(spark, str(folder))
+    assert listed.count() == 20_000
+    assert [(r.name, r.size) for r in listed.where("size > 0").collect()] == [("doc7", 3)]
+    assert list_files(spark, str(folder), "doc1*9").count() == sum(
+        1 for k in range(20_000) if str(k).startswith("1") and str(k).endswith("9")
+    )
+    twice = tmp_path / "twice"
+    twice.mkdir()
+    (twice / "doc7").touch()
+    with pytest.raises(ValueError, match="doc7"):
+        list_documents(spark, [str(folder), str(twice)])
+    assert list_documents(spark, [str(folder), str(twice)], "path").count() == 20_001
+
+
+def test_command_line_takes_a_manifest(spark, tmp_path):
+    from termloom.__main__ import score_files
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, text in {"a": "x y", "b": "x", "c": "z", "empty": ""}.items():
+        (folder / name).write_text(text)
+    (tmp_path / "names").write_text("a\nb\nempty\n")
+    for chunk in (None, 1):
+        score_files(spark, str(folder), str(tmp_path / "out"), manifest=str(tmp_path / "names"), chunk_bytes=chunk)
+        lines = sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
+        # Three documents, one of them empty; x is in two of them.
+        assert lines == ["a@x\t0.2027325541", "a@y\t0.5493061443", "b@x\t0.4054651081"]
