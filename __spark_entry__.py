@@ -21,10 +21,11 @@ from termloom.operators import postings as lists  # noqa: E402
 from termloom.operators import tokens as tk  # noqa: E402
 from termloom.operators.lookup import attach_by_doc  # noqa: E402
 from termloom.plans import scoring  # noqa: E402
-from termloom.sinks.report import report  # noqa: E402
+from termloom.sinks.report import key_bounds, report  # noqa: E402
+from termloom.sinks.versions import load_current, publish  # noqa: E402
 from termloom.sources import stages  # noqa: E402
 from termloom.sources.files import names_from_paths  # noqa: E402
-from termloom.sources.tables import corpus_from, widen  # noqa: E402
+from termloom.sources.tables import corpus_from, deal_by_bytes, widen  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -147,6 +148,21 @@ def _score_buckets(by_frequency: bool):
     return _with_heavy_terms(operator)
 
 
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw_documents(spark, sf_dir)
+    scores = scoring.score(_documents(spark, sf_dir), heavy=totals.heavy_terms(raw))
+    return report(scores, bounds=key_bounds(raw))
+
+
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term counts by documents of like bytes, published over an older version, and read again."""
+    path = stages.stage_path(spark)
+    corpus = deal_by_bytes(_raw_documents(spark, sf_dir), _cores(spark))
+    publish(counts.doc_sizes(corpus), path)
+    publish(counts.term_counts(corpus), path)
+    return load_current(spark, path).withColumnRenamed("doc", "doc_id")
+
+
 def _doc_freq_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequencies of documents and conversations, from which the conversations are taken again."""
     documents, lines = _documents(spark, sf_dir), _conversations(spark, sf_dir)
@@ -263,6 +279,7 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tokens_with_size": _on_documents(tk.tokens_with_size),
         # aggregates and group totals
         "term_counts": _on_documents(counts.term_counts),
+        "term_counts_published": _published,
         "term_counts_lines": _on_conversations(lambda c: counts.term_counts(c, "line")),
         "doc_sizes": _on_documents(counts.doc_sizes),
         "doc_sizes_lines": _on_conversations(lambda c: counts.doc_sizes(c, "line")),
@@ -306,7 +323,7 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tfidf_lines_lookup": _line_scores("lookup"),
         "tfidf_lines_chunked": _line_scores("window", chunk_bytes=SMALL_CHUNK),
         # text forms
-        "tfidf_report": _with_heavy_terms(lambda corpus, heavy: report(scoring.score(corpus, heavy=heavy))),
+        "tfidf_report": _report,
         "packed_keys": _on_documents(_packed_keys),
     }
 
@@ -357,6 +374,7 @@ def _statistics_sql() -> dict[str, str]:
         "tokenize": d + "SELECT doc_id, term FROM tk",
         "tokens_with_size": d + "SELECT doc_id, term, doc_size FROM tk JOIN ds USING (doc_id)",
         "term_counts": d + "SELECT doc_id, term, word_count FROM tc",
+        "term_counts_published": d + "SELECT doc_id, term, word_count FROM tc",
         "term_counts_lines": c + "SELECT conv_id, term, word_count FROM tc",
         "doc_sizes": d + "SELECT doc_id, doc_size FROM ds",
         "doc_sizes_lines": c + "SELECT conv_id, doc_size FROM ds",

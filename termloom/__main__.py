@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from termloom.plans.scoring import STRATEGIES, score
 from termloom.session import build_session
-from termloom.sinks.report import ORDERS, report, write_report
+from termloom.sinks.report import ORDERS, key_bounds, report, write_report
 from termloom.sources.files import list_documents, read_documents, read_lines
 
 
@@ -41,7 +41,8 @@ def score_files(
     corpus = read(spark, source, doc_key, glob, names)
     documents = list_documents(spark, source, doc_key, glob) if names is None else names.select("doc").distinct()
     scores = score(corpus, grain, strategy, documents, chunk_bytes=chunk_bytes)
-    write_report(report(scores, places, order), target)
+    bounds = key_bounds(corpus) if order == "total" else None
+    write_report(report(scores, places, order, bounds), target)
 
 
 def main(arguments: list[str] | None = None) -> None:

@@ -2,20 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from itertools import islice
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.functions.keys import fixed_point, pack_key
+from termloom.functions.keys import KEY_DELIMITER, fixed_point, pack_key
+from termloom.functions.text import TERM_PATTERN
+from termloom.operators.totals import SAMPLED_CHARACTERS, SAMPLED_DOCS, SAMPLED_PARTITIONS
 
+# Bounds that are compared with a key at once.
+_STEP = 64
 ORDERS = ("total", "file", "none")
 
 
-def report(scores: DataFrame, places: int = 10, order: str = "total") -> DataFrame:
+def key_bounds(corpus: DataFrame, ranges: int | None = None) -> list[str]:
+    """Keys that cut a corpus's report into about ``ranges`` parts of like size, as many as shuffle partitions.
+
+    Out of the first texts of some partitions, by a job over these; wrong bounds cost
+    balance, never order.
+    """
+    ranges = ranges or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    name = F.col("doc").cast("string")
+    texts = corpus.select(name.alias("doc"), F.substring("text", 1, SAMPLED_CHARACTERS)).where("doc IS NOT NULL").rdd
+    parts = texts.getNumPartitions()
+    chosen = sorted({k * parts // SAMPLED_PARTITIONS for k in range(SAMPLED_PARTITIONS)}) if parts else []
+    most, pattern, delimiter = SAMPLED_DOCS, TERM_PATTERN, KEY_DELIMITER
+
+    def keys(rows) -> list[str]:
+        cut = re.compile(pattern).findall
+        return [doc + delimiter + t for doc, text in islice(rows, most) for t in set(cut(text or ""))]
+
+    # In the order of their bytes, as Spark compares strings.
+    found = sorted(texts.context.runJob(texts, keys, chosen), key=str.encode)
+    places = sorted({k * len(found) // ranges for k in range(1, ranges)}) if found else []
+    return list(dict.fromkeys(found[k] for k in places))
+
+
+def _range_of(key: Column, bounds: list[str]) -> Column:
+    """How many of the bounds are not after ``key``: among every _STEP-th one first, and then between two of these."""
+    groups = [bounds[k : k + _STEP] for k in range(0, len(bounds), _STEP)]
+
+    def count(array: Column) -> Column:
+        return F.size(F.filter(array, lambda bound: bound <= key))
+
+    firsts = F.array(*(F.lit(g[0]) for g in groups))
+    group = F.greatest(count(firsts) - 1, F.lit(0))
+    inside = F.get(F.array(*(F.array(*map(F.lit, g)) for g in groups)), group)
+    return group * F.lit(_STEP) + count(inside)
+
+
+def report(
+    scores: DataFrame, places: int = 10, order: str = "total", bounds: list[str] | None = None
+) -> DataFrame:
     """``(key, value_text)`` in byte order of the packed key.
 
-    ``order="total"`` sorts over all output files by a range shuffle,
-    ``"file"`` within each file only, without a shuffle. The packed key decides,
-    so ``doc10@a`` comes before ``doc1@a``.
+    ``order="total"`` sorts over all output files by a range shuffle, for which Spark
+    runs the last stage of ``scores`` twice; with ``bounds`` (``key_bounds``) it is dealt
+    out by them and runs once. ``"file"`` sorts within each file only, without a
+    shuffle. The packed key decides, so ``doc10@a`` comes before ``doc1@a``.
     """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}, not {order!r}")
@@ -23,6 +69,9 @@ def report(scores: DataFrame, places: int = 10, order: str = "total") -> DataFra
         pack_key(F.col("doc"), F.col("term")).alias("key"),
         fixed_point(F.col("tfidf"), places).alias("value_text"),
     )
+    if order == "total" and bounds:
+        dealt = lines.repartitionById(len(bounds) + 1, _range_of(F.col("key"), bounds))
+        return dealt.sortWithinPartitions("key")
     if order == "total":
         return lines.orderBy("key")
     return lines.sortWithinPartitions("key") if order == "file" else lines

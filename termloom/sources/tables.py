@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Lanes that documents are dealt to for each partition.
+LANES = 64
+
 
 def corpus_from(table: DataFrame, doc: str, text: str) -> DataFrame:
     """``(doc, text)`` of a table; only these two columns are read.
@@ -24,3 +29,25 @@ def widen(corpus: DataFrame, partitions: int, *by: str) -> DataFrame:
     document at document grain); without it rows are dealt out evenly.
     """
     return corpus.repartition(partitions, *by)
+
+
+def deal_by_bytes(corpus: DataFrame, partitions: int) -> DataFrame:
+    """Spread a corpus over ``partitions`` of about the same number of bytes of text.
+
+    Documents go to lanes by a hash, many for each partition; the lanes' sizes, a row
+    each, are added up by a job, and the lanes packed into partitions, the largest
+    first. Texts are shuffled once. Only a document that is larger than a partition's
+    share makes a larger one.
+    """
+    lanes = LANES * partitions
+    lane = F.pmod(F.xxhash64(F.coalesce(F.col("doc").cast("string"), F.col("text"))), F.lit(lanes)).cast("int")
+    sizes = corpus.groupBy(lane.alias("lane")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("size"))
+    place = [k % partitions for k in range(lanes)]
+    loads = [(0, k) for k in range(partitions)]
+    for row in sorted(sizes.collect(), key=lambda r: (-r["size"], r.lane)):
+        load, part = heapq.heappop(loads)
+        place[row.lane] = part
+        heapq.heappush(loads, (load + row["size"], part))
+    table = corpus.sparkSession.createDataFrame(list(enumerate(place)), "_lane int, _part int")
+    dealt = corpus.withColumn("_lane", F.coalesce(lane, F.lit(0))).join(F.broadcast(table), "_lane")
+    return dealt.repartitionById(partitions, F.col("_part")).select(*corpus.columns)
