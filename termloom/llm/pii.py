@@ -30,6 +30,8 @@ SURE = 0.95
 ROUNDS = 50
 # Characters before a span that are its context.
 BEFORE = 24
+# Matches whose places are counted in one go.
+_BLOCK = 256
 # Characters of a secret in which no base span may lie; what lies behind them does not rule it out.
 HEAD = 64
 
@@ -70,7 +72,7 @@ def _found(text: Column, pattern: str, need: str, kind: int, strict: bool) -> Co
     """All matches with their places: gaps and matches take turns, and lengths add up."""
     gaps = F.split(text, pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    nothing = F.array().cast(_SPAN)
 
     def step(done, pair):
         first = done["at"] + F.length(pair["gap"])
@@ -84,8 +86,31 @@ def _found(text: Column, pattern: str, need: str, kind: int, strict: bool) -> Co
         )
 
     pairs = F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("value")))
-    spans = F.aggregate(pairs, start, step, lambda done: done["out"])
-    return F.when(text.rlike(need), spans).otherwise(F.array().cast(_SPAN))
+    spans = _by_blocks(pairs, nothing, f"array<{_SPAN}>", step, lambda at, out: F.flatten(out))
+    return F.when(text.rlike(need), spans).otherwise(nothing)
+
+
+def _by_blocks(items: Column, nothing: Column, kind: str, step, finish) -> Column:
+    """``aggregate`` of a state ``at`` and an output that grows with the items, which it copies at every step.
+
+    So each block of _BLOCK items begins an output of its own, and copying stays in
+    proportion to the items. ``finish`` gets the last ``at`` and the blocks' outputs.
+    """
+    def block_step(done, block):
+        start = F.struct(done["at"].alias("at"), nothing.alias("out"))
+        return F.transform(
+            F.array(F.aggregate(block, start, step)),
+            lambda own: F.struct(own["at"].alias("at"), F.concat(done["out"], F.array(own["out"])).alias("out")),
+        )[0]
+
+    def run(known):
+        last = F.floor(F.greatest(F.size(known) - 1, F.lit(0)) / F.lit(_BLOCK)).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(known, k * _BLOCK + 1, F.lit(_BLOCK)))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+        return F.aggregate(blocks, start, block_step, lambda done: finish(done["at"], done["out"]))
+
+    # A name for the items, which else would be computed for every block.
+    return F.transform(F.array(items), run)[0]
 
 
 def _digits(value: Column) -> Column:
@@ -129,12 +154,24 @@ def with_spans(docs: DataFrame) -> DataFrame:
         F.concat(*map(failed, ("ip", "card", "phone")), *loose).alias("_loose"),
     ).drop(*(f"_{k}" for k in BASE))
 
-    def free(c):
+    def mark(done, s):
+        start, further = F.greatest(done["at"], s["start"]), F.greatest(done["at"], s["end"])
+        marks = F.concat(F.repeat(F.lit("."), start - done["at"]), F.repeat(F.lit("x"), further - start))
+        return F.struct(further.alias("at"), F.concat(done["out"], marks).alias("out"))
+
+    # A byte for each character up to the last base span: any stretch of it is found at once.
+    marked = _by_blocks(
+        F.col("_base"), F.lit(""), "array<string>", mark, lambda at, out: F.array_join(out, "").cast("binary")
+    )
+
+    def free(marks, c):
         secret = c["kind"] == KINDS.index("secret")
         end = F.when(secret, F.least(c["end"], c["start"] + HEAD)).otherwise(c["end"])
-        return ~F.exists("_base", lambda b: (b["start"] < end) & (c["start"] < b["end"]))
+        return F.instr(F.substring(marks, c["start"] + 1, end - c["start"]).cast("string"), F.lit("x")) == 0
 
-    return docs.withColumn("_maybe", F.filter("_loose", free)).drop("_loose")
+    kept = F.transform(F.array(marked), lambda marks: F.filter("_loose", lambda c: free(marks, c)))[0]
+    alone = (F.size("_base") == 0) | (F.size("_loose") == 0)
+    return docs.withColumn("_maybe", F.when(alone, F.col("_loose")).otherwise(kept)).drop("_loose")
 
 
 def _by_kind(kind: Column, choose) -> Column:
@@ -261,7 +298,10 @@ def find(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
     an empty one, which has none.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = with_spans(without(docs, ["base_spans", "spans"]))
+    docs = without(docs, ["base_spans", "spans"])
+    # Other columns are set aside under names that no column here has.
+    aside = {c: "text" if c.lower() == "text" else f"own{k}" for k, c in enumerate(docs.columns)}
+    docs = with_spans(docs.select(*(F.col(f"`{c}`").alias(n) for c, n in aside.items())))
     known = F.create_map(*(F.lit(x) for pair in sorted(weights.items()) for x in pair)) if weights else None
 
     def sure(span):
@@ -278,9 +318,9 @@ def find(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
     plain = lambda spans: F.transform(spans, lambda s: F.struct(*(s[c].alias(c) for c in ("start", "kind", "end", "value"))))
     added = F.filter("_maybe", sure)
     return docs.select(
-        *(F.col(f"`{c}`") for c in docs.columns if c not in ("_base", "_maybe")),
+        *(F.col(n).alias(c) for c, n in aside.items()),
         plain(F.col("_base")).alias("base_spans"),
-        plain(F.array_sort(F.array_distinct(F.concat("_base", added)))).alias("spans"),
+        plain(F.array_sort(F.concat("_base", F.array_distinct(added)))).alias("spans"),
     )
 
 
@@ -296,18 +336,17 @@ def count_of(spans: Column, kind: str) -> Column:
 
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with each span, or group of overlapping ones, replaced by its kind in brackets."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
     def step(done, s):
         further = F.greatest(done["at"], s["end"]).alias("at")
         name = F.concat(F.lit("["), F.upper(_by_kind(s["kind"], lambda k: F.lit(k))), F.lit("]"))
         new = F.concat(done["out"], F.substr(text, done["at"] + 1, s["start"] - done["at"]), name)
         return F.struct(further, F.when(s["start"] < done["at"], done["out"]).otherwise(new).alias("out"))
 
-    def finish(done):
-        return F.concat(done["out"], F.substr(text, done["at"] + 1, F.length(text)))
+    def finish(at, out):
+        return F.concat(F.array_join(out, ""), F.substr(text, at + 1, F.length(text)))
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, finish))
+    whole = _by_blocks(spans, F.lit(""), "array<string>", step, finish)
+    return F.when(F.size(spans) == 0, text).otherwise(whole)
 
 
 def redact(docs: DataFrame, weights: dict[str, float]) -> DataFrame:

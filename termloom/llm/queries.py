@@ -28,7 +28,8 @@ SHARDS = 16
 
 
 def _held_out(folds: int, fold: int) -> Column:
-    return F.crc32(F.col("doc_id").cast("string")) % folds == fold
+    """A row without doc_id is in no fold."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:

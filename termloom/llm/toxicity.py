@@ -203,7 +203,8 @@ def learn_terms(sample: DataFrame) -> list[tuple[str, float]]:
     choice makes its documents count less for the next, so that the words that
     only some copies of one toxic text share do not follow on each other.
     """
-    sample = sample.dropDuplicates(["text"])
+    # Equal texts count once, as toxic if any of them is marked so.
+    sample = sample.groupBy("text").agg(F.max("toxic").alias("toxic"))
     totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("p")).first()
     n, p = totals.n, totals.p
     if not p or p == n:
