@@ -1,10 +1,14 @@
 """Toxicity by a lexicon that forgives misspelling, and the context of its hits.
 
 The lexicon is learned: the words whose documents are labelled toxic far more
-often than others. Its trie is intersected with Levenshtein automata, one for each
+often than others, near copies counting as one document. Its trie is intersected with Levenshtein automata, one for each
 allowed number of edits; the product is determinised as it is walked, so a word
 costs one step for each of its characters, and most end after a few.
 
+Words are what stands between blanks and the marks that part words. One that has
+further marks inside is looked at as it stands, then by its parts, then, if these
+are single letters, as the word that they spell.
+
 A hit's context is the words about it: whether it stands in quotation marks, and
 whether further hits are near. A quoted lone hit is likely talked about; several
 bare hits are likely abuse. A document's hits by distance and context are counted
@@ -13,7 +17,9 @@ and weighed by a logistic regression fitted to the labelled documents.
 
 from __future__ import annotations
 
+import heapq
 import math
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -23,13 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.llm.common import add_columns, map_arrow, rows_where, saved, strings
+from termloom.llm.near_dedup import keep_one_of_each
 
 # Labelled documents that are learned from, at most: those with the smallest hashes.
 SAMPLE = 20_000
-# Words in the lexicon, at most: those with the strongest association.
-LEXICON = 200
-# Words that the lexicon is chosen from, at most.
-CANDIDATES = 1_000
+# Gain of a word's association (twice the log likelihood ratio) from which it is no
+# chance, for one test; more words tested raise it by twice the log of their number.
+GAIN = 10.83
 # What a document that is not toxic counts against a word.
 OTHER = 4
 # Labelled toxic documents that must hold a word of the lexicon.
@@ -47,6 +53,20 @@ QUOTES = "\"'“”„‟‘’‚«»‹›"
 _EDGE = QUOTES + ".,;:!?()[]{}<>|*_~`#&%$-–—…/\\"
 
 
+# Marks that part words and that nobody writes in place of a letter.
+_PARTING = ",;:/\\—–…·&+="
+_INNER = re.compile(r"[\W_]+")
+
+
+def cut(text: str) -> list[str]:
+    """The words of a text in lower case, with the marks at their ends."""
+    text = text.lower()
+    for mark in _PARTING:
+        if mark in text:
+            text = text.replace(mark, " ")
+    return text.split()
+
+
 class Matcher:
     """The lexicon term nearest to a word, within the term's number of edits."""
 
@@ -144,6 +164,14 @@ class Scorer:
     def _match(self, word: str):
         bare = word.strip(_EDGE)
         found = (len(bare) <= 64 and bare and self.matcher.match(bare)) or False
+        if not found and not bare.isalnum():
+            parts = [x for x in _INNER.split(bare) if x]
+            if len(parts) > 1:
+                if all(len(x) == 1 for x in parts):
+                    parts = ["".join(parts)]
+                hits = [m for x in parts if len(x) <= 64 and (m := self.matcher.match(x))]
+                # The hit with the fewest edits stands for all.
+                found = min(hits, key=lambda m: (m[1], m[0]), default=False)
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         if len(word) <= 64:
@@ -152,7 +180,7 @@ class Scorer:
 
     def features(self, text: str) -> tuple[int, ...]:
         """Small whole numbers, so that documents fall into few groups."""
-        words = text.lower().split()
+        words = cut(text)
         found = list(map(self.known.get, words))
         if None in found:
             found = [self._match(w) if x is None else x for w, x in zip(words, found)]
@@ -196,57 +224,61 @@ def _quoted(words: list[str], at: int) -> bool:
 
 
 def learn_terms(sample: DataFrame) -> list[tuple[str, float]]:
-    """``(word, log ratio)`` of the words that mark toxic documents, LEXICON at most.
-
-    Words are first ranked by the likelihood ratio of their association. Out of
-    the CANDIDATES best, the lexicon is then chosen by weighted covering: each
-    choice makes its documents count less for the next, so that the words that
-    only some copies of one toxic text share do not follow on each other.
+    """``(word, log ratio)`` of the words that mark toxic documents.
+
+    Equal texts, and near copies of five words and a similarity of 0.8, count once,
+    as toxic if any of them is marked so. Candidates are the words in SUPPORT toxic
+    texts or more whose association is strong (RATIO) and no chance (GAIN); there is
+    no limit to their number. The lexicon is chosen by weighted covering: each choice
+    makes its documents count less for the next, so that the words that only some
+    variants of one toxic text share do not follow on each other.
     """
-    # Equal texts count once, as toxic if any of them is marked so.
-    sample = sample.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    texts = sample.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    # Toxic copies first, so that these stay.
+    texts = saved(texts.withColumn("doc_id", F.shiftright(F.xxhash64("text"), 1) + F.when(F.col("toxic") == 0, 2**62).otherwise(-(2**62))))
+    sample = saved(keep_one_of_each(texts))
     totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("p")).first()
     n, p = totals.n, totals.p
     if not p or p == n:
         return []
     own = F.filter(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+")), lambda w: F.length(w).between(3, 40))
-    sample = sample.select("toxic", own.alias("own"))
-    words = sample.select("toxic", F.explode("own").alias("word"))
-    counts = words.groupBy("word").agg(F.sum("toxic").alias("a"), F.count("*").alias("m"))
+    words = sample.select("doc_id", "toxic", F.explode(own).alias("word"))
+    counts = words.groupBy("word").agg(F.sum("toxic").alias("a"), F.count("*").alias("m")).where(F.col("a") >= SUPPORT)
     a, m = F.col("a"), F.col("m")
     b = m - a
     ratio = F.log((a + 0.5) / (p + 1)) - F.log((b + 0.5) / (n - p + 1))
-    # Twice the gain in log likelihood over a word that is as common in both.
     gain = 2 * (a * F.log(a * n / (m * p)) + b * F.log(F.greatest(b, F.lit(0.5)) * n / (m * (n - p))))
-    marked = counts.where(a >= SUPPORT).withColumn("ratio", ratio).withColumn("gain", gain)
-    best = marked.where(F.col("ratio") >= math.log(RATIO)).orderBy(F.desc("gain"), "word").limit(CANDIDATES)
-    ratios = {r.word: float(r.ratio) for r in best.collect()}
-    if not ratios:
-        return []
-    names = list(ratios)
-    held = F.array_intersect("own", F.array(*map(F.lit, names)))
-    # No more rows than the sample has, each of a few words.
-    rows = sample.select("toxic", held.alias("held")).where("size(held) > 0").collect()
-    toxic, other = defaultdict(list), defaultdict(int)
-    weights = []
-    for r in rows:
-        for word in r.held:
-            if r.toxic:
-                toxic[word].append(len(weights))
-            else:
-                other[word] += 1
-        weights += [1.0] * bool(r.toxic)
-    chosen = []
-    least = max(SUPPORT, 0.01 * p)
-    while len(chosen) < LEXICON and len(chosen) < len(names):
-        values = {w: sum(weights[d] for d in toxic[w]) - OTHER * other[w] for w in names if w not in chosen}
-        word = max(values, key=lambda w: (values[w], w))
-        if values[word] < least:
+    tested = saved(counts.select("word", ratio.alias("ratio"), gain.alias("gain")))
+    least = GAIN + 2 * math.log(max(1, tested.count()))
+    best = tested.where((F.col("ratio") >= math.log(RATIO)) & (F.col("gain") >= least))
+    held = words.join(best.select("word", "ratio"), "word")
+    # A candidate's documents, as numbers; toxic ones, and how many others. Bounded by the sample.
+    rows = held.groupBy("word").agg(
+        F.first("ratio").alias("ratio"),
+        F.array_sort(F.collect_list(F.when(F.col("toxic") == 1, F.col("doc_id")))).alias("toxic"),
+        F.sum(1 - F.col("toxic")).alias("other"),
+    )
+    found = {r.word: r for r in rows.collect()}
+    weights: dict[int, float] = defaultdict(lambda: 1.0)
+
+    def value(word: str) -> float:
+        return sum(weights[d] for d in found[word].toxic) - OTHER * found[word].other
+
+    # Values only fall, so the best of old values that is still the best anew is the best of all.
+    chosen, queue = [], [(-value(w), w) for w in found]
+    heapq.heapify(queue)
+    while queue:
+        _, word = heapq.heappop(queue)
+        now = -value(word)
+        if queue and (now, word) > queue[0]:
+            heapq.heappush(queue, (now, word))
+            continue
+        if -now < SUPPORT:
             break
-        chosen.append(word)
-        for d in toxic[word]:
+        chosen.append((word, float(found[word].ratio)))
+        for d in found[word].toxic:
             weights[d] = 1 / (1 / weights[d] + 1)
-    return [(w, ratios[w]) for w in chosen]
+    return chosen
 
 
 def fit(groups: list[tuple[tuple[int, ...], int, int]], rounds: int = 30, ridge: float = 0.5) -> np.ndarray:
