@@ -13,16 +13,20 @@
 5. The pairs left are confirmed on the full sets of both texts. Confirmed links are
    joined to components.
 
-A pair of the threshold's similarity shares no bucket with probability
-(1 - t**BAND)**BANDS, 4e-7 for t = 0.85; ``miss`` adds at most 1e-6 for each of the
-five batches. Rows that share a doc_id count as one document in the links.
+There are as many bands as make a pair of the threshold's similarity t share no
+bucket with probability ``miss`` at most: (1 - t**BAND)**bands. ``miss`` counts once
+more for each batch of signature values. Rows that share a doc_id count as one
+document in the links.
+
+A bucket's smallest member meets all others, so its rows are dealt to SALTS tasks,
+each with one copy of what the smallest member brings.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
-from math import comb
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -42,24 +46,34 @@ from termloom.llm.common import (
 from termloom.llm.components import components
 
 BAND = 5
-BANDS = 25
-HASHES = BAND * BANDS
 # Signature values are compared in batches of so many.
 BATCH = 25
 MISS = 1e-6
 # Largest block of a bucket that is compared within one task.
 SLICE = 512
+# Parts that the rows of one bucket, or the pairs of one hub, are dealt to.
+SALTS = 64
+
+
+def hashes_for(threshold: float, miss: float) -> int:
+    """Signature values that the bands of a threshold need, in whole batches."""
+    bands = math.ceil(math.log(miss) / math.log1p(-(threshold**BAND))) if threshold < 1 else 1
+    return BATCH * math.ceil(max(1, bands) * BAND / BATCH)
 
-_RANDOM = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_A, _B = _RANDOM[:HASHES] | np.uint64(1), _RANDOM[HASHES:]
+
+@functools.cache
+def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
+    random = mix(np.arange(1, 2 * count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return random[:count] | np.uint64(1), random[count:]
 
 
-def signature(elements: np.ndarray) -> bytes:
-    """HASHES minima of 32 bits, for a set that is not empty."""
-    out = np.empty(HASHES, np.uint32)
+def signature(elements: np.ndarray, count: int) -> bytes:
+    """``count`` minima of 32 bits, for a set that is not empty."""
+    a, b = _functions(count)
+    out = np.empty(count, np.uint32)
     step = max(1, (1 << 15) // len(elements))
-    for k in range(0, HASHES, step):
-        values = elements[None, :] * _A[k : k + step, None] + _B[k : k + step, None]
+    for k in range(0, count, step):
+        values = elements[None, :] * a[k : k + step, None] + b[k : k + step, None]
         out[k : k + step] = (values >> np.uint64(32)).min(axis=1)
     return out.tobytes()
 
@@ -72,7 +86,7 @@ def digest(elements: np.ndarray) -> bytes:
     return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
 
-def sketches(docs: DataFrame, size: int) -> DataFrame:
+def sketches(docs: DataFrame, size: int, count: int) -> DataFrame:
     """``docs`` with ``n_shingles``, ``set_digest`` and ``signature`` (null for empty sets)."""
 
     def start():
@@ -82,7 +96,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 elements = set_of(hashes, size)
                 n.append(len(elements))
                 digests.append(digest(elements) if len(elements) else None)
-                signatures.append(signature(elements) if len(elements) else None)
+                signatures.append(signature(elements, count) if len(elements) else None)
             return n, digests, signatures
 
         return compute
@@ -97,18 +111,18 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
 
 @functools.cache
 def needed_matches(threshold: float, miss: float) -> tuple[int, ...]:
-    """Fewest matches after each batch that keep a pair alive.
+    """Fewest matches after each batch of ``hashes_for`` values that keep a pair alive.
 
     The similarity has a uniform prior, so after m matches of n its posterior is
     Beta(m + 1, n - m + 1), and the chance that it reaches t is that of at most m
     hits in n + 1 trials of probability t.
     """
     bounds = []
-    for n in range(BATCH, HASHES + 1, BATCH):
+    for n in range(BATCH, hashes_for(threshold, miss) + 1, BATCH):
         tail, m = 0.0, -1
         while m < n and tail < miss:
             m += 1
-            tail += comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
+            tail += math.comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
         bounds.append(m)
     return tuple(bounds)
 
@@ -125,14 +139,29 @@ def plausible(left: np.ndarray, right: np.ndarray, bounds: tuple[int, ...]) -> n
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
+
+
+def _salt(name: str):
+    return F.pmod(F.xxhash64(name), F.lit(SALTS))
+
+
+def _both(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
+    """``(a, b, x, y)``: ``pairs(a, b)`` with ``value`` of both sides.
+
+    A hub may be the ``a`` of any share of the pairs: its value goes to those of its
+    SALTS parts that have pairs, once to each.
+    """
+    salted = pairs.withColumn("salt", _salt("b"))
+    one = table.select(F.col("rep").alias("a"), F.col(value).alias("x"))
+    two = table.select(F.col("rep").alias("b"), F.col(value).alias("y"))
+    hubs = salted.select("a", "salt").dropDuplicates().join(one, "a")
+    return salted.join(two, "b").join(hubs, ["a", "salt"]).select("a", "b", "x", "y")
 
 
 def _plausible_pairs(pairs: DataFrame, classes: DataFrame, bounds) -> DataFrame:
     """``pairs(a, b)`` less those that the signatures rule out."""
-    one = classes.select(F.col("rep").alias("a"), F.col("signature").alias("x"))
-    two = classes.select(F.col("rep").alias("b"), F.col("signature").alias("y"))
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    joined = _both(pairs, classes, "signature")
 
     def run(batches):
         for batch in batches:
@@ -145,9 +174,7 @@ def _plausible_pairs(pairs: DataFrame, classes: DataFrame, bounds) -> DataFrame:
 
 def _linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """``pairs(a, b)`` whose full sets overlap by ``percent`` of their union at least."""
-    one = texts.select(F.col("rep").alias("a"), F.col("text").alias("x"))
-    two = texts.select(F.col("rep").alias("b"), F.col("text").alias("y"))
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    joined = _both(pairs, texts, "text")
 
     def run(batches):
         for batch in batches:
@@ -168,11 +195,11 @@ def _linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return map_arrow(joined, run, "a bigint, b bigint")
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
-    """``(bucket, rep)`` of the buckets with two members or more."""
+def _buckets(classes: DataFrame, bands: int) -> DataFrame:
+    """``(bucket, band, rep)`` of the buckets with two members or more."""
     width = 4 * BAND
     keys = [
-        F.xxhash64(F.lit(k), F.substring("signature", k * width + 1, width)) for k in range(BANDS)
+        F.xxhash64(F.lit(k), F.substring("signature", k * width + 1, width)) for k in range(bands)
     ]
     rows = classes.select("rep", F.posexplode(F.array(*keys)).alias("band", "bucket"))
     full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
@@ -193,8 +220,10 @@ def _labelled(buckets: DataFrame, links: DataFrame) -> DataFrame:
 
 def _star(members: DataFrame) -> DataFrame:
     """Each bucket's members paired with its smallest one."""
-    hubs = members.groupBy("bucket").agg(F.min("rep").alias("a"))
-    pairs = members.withColumnRenamed("rep", "b").join(hubs, "bucket")
+    salted = members.select("bucket", F.col("rep").alias("b"), _salt("rep").alias("salt"))
+    parts = salted.groupBy("bucket", "salt").agg(F.min("b").alias("least"))
+    hubs = parts.groupBy("bucket").agg(F.min("least").alias("a"))
+    pairs = salted.join(parts.join(hubs, "bucket").drop("least"), ["bucket", "salt"])
     return pairs.where("a <> b").select("a", "b").dropDuplicates()
 
 
@@ -278,9 +307,9 @@ def _blocks(members: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
             other = theirs[comps[theirs] != comps[i]]
             if not len(other):
                 continue
-            keep = plausible(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], bounds)
+            keep = plausible(np.broadcast_to(signs[i], (len(other), signs.shape[1])), signs[other], bounds)
             other = other[keep]
-            shared = (signs[other] == signs[i]).reshape(-1, BANDS, BAND).all(axis=2)
+            shared = (signs[other] == signs[i]).reshape(-1, signs.shape[1] // BAND, BAND).all(axis=2)
             for k in other[shared.argmax(axis=1) == band].tolist():
                 if sets.link(int(i), k, percent):
                     yield int(reps[i]), int(reps[k])
@@ -322,15 +351,18 @@ def near_duplicates(
     kept. Further columns of ``docs`` are not read. Writes tables to the shared
     folder and runs jobs when called.
     """
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be over 0 and at most 100")
     bounds = needed_matches(percent / 100, miss)
-    rows = saved(sketches(docs.select("doc_id", "text"), size).drop("text"))
+    count = hashes_for(percent / 100, miss)
+    rows = saved(sketches(docs.select("doc_id", "text"), size, count).drop("text"))
     groups = rows.where("doc_id IS NOT NULL AND set_digest IS NOT NULL")
     classes = saved(
         groups.groupBy("set_digest").agg(
             F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature")
         )
     )
-    buckets = _buckets(classes)
+    buckets = _buckets(classes, count // BAND)
     wanted = buckets.select(F.col("rep").alias("doc_id")).dropDuplicates()
     met = classes.join(wanted.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
     met = saved(met)

@@ -120,25 +120,33 @@ def _near_copies():
 
 
 @pytest.mark.parametrize("block", [4, 512])
-def test_near_duplicates(spark, block, monkeypatch):
+@pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
+def test_near_duplicates(spark, block, size, percent, monkeypatch):
     monkeypatch.setattr(near_dedup, "SLICE", block)
+    monkeypatch.setattr(near_dedup, "SALTS", block)
     rows = _near_copies()
     docs = spark.createDataFrame(list(rows.items()), "doc_id bigint, text string")
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, 3, 85).collect()}
-    assert found == _components(rows, 3, 85)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, size, percent).collect()}
+    assert found == _components(rows, size, percent)
 
 
 def test_bayesian_bounds():
-    bounds = near_dedup.needed_matches(0.85, 1e-6)
-    assert list(bounds) == sorted(bounds) and bounds[-1] < 0.85 * near_dedup.HASHES
+    bounds, count = near_dedup.needed_matches(0.85, 1e-6), near_dedup.hashes_for(0.85, 1e-6)
+    assert list(bounds) == sorted(bounds) and bounds[-1] < 0.85 * count
     rng = np.random.default_rng(0)
-    left = rng.integers(0, 2**32, (2000, near_dedup.HASHES), dtype=np.uint32)
+    left = rng.integers(0, 2**32, (2000, count), dtype=np.uint32)
     right = np.where(rng.random(left.shape) < 0.85, left, 0)
     assert len(near_dedup.plausible(left, right, bounds)) == 2000
     right = np.where(rng.random(left.shape) < 0.4, left, 0)
     assert len(near_dedup.plausible(left, right, bounds)) < 20
 
 
+@pytest.mark.parametrize("percent, miss", [(85, 1e-6), (80, 1e-6), (80, 1e-9), (50, 1e-6), (95, 1e-6), (100, 1e-6)])
+def test_bands_keep_pairs_of_the_threshold(percent, miss):
+    bands = near_dedup.hashes_for(percent / 100, miss) / near_dedup.BAND
+    assert (1 - (percent / 100) ** near_dedup.BAND) ** bands <= miss
+
+
 @pytest.mark.parametrize("block_bytes", [300, decontaminate.BLOCK_BYTES])
 def test_decontamination(spark, block_bytes):
     rng = random.Random(3)
