@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.llm.common import add_columns, map_arrow, rows_where, saved, strings
-from termloom.llm.near_dedup import keep_one_of_each
+from termloom.llm.near_dedup import BAND, hashes_for, sketches
 
 # Labelled documents that are learned from, at most: those with the smallest hashes.
 SAMPLE = 20_000
@@ -42,6 +42,8 @@ OTHER = 4
 SUPPORT = 5
 # How many times likelier a word must be in toxic documents.
 RATIO = 8.0
+# Similarity of signatures from which a labelled text is a near copy, and the chance to miss one.
+ALIKE, MISS = 0.8, 1e-6
 # Length from which a term may be misspelled by so many edits.
 EDITS = ((8, 2), (5, 1), (0, 0))
 # Words on each side that are a hit's context.
@@ -223,11 +225,24 @@ def _quoted(words: list[str], at: int) -> bool:
     return any(closes(words[k]) for k in range(at, min(len(words), at + CONTEXT)))
 
 
+def _near_copies(signatures: np.ndarray) -> np.ndarray:
+    """Which rows are like an earlier row that shares a band with them: the first of its bucket."""
+    copies = np.zeros(len(signatures), bool)
+    for at in range(0, signatures.shape[1], BAND):
+        keys = np.ascontiguousarray(signatures[:, at : at + BAND]).view(f"V{4 * BAND}").ravel()
+        _, first, bucket = np.unique(keys, return_index=True, return_inverse=True)
+        hub = first[bucket]
+        alike = (signatures == signatures[hub]).mean(axis=1) >= ALIKE
+        copies |= alike & (hub != np.arange(len(hub)))
+    return copies
+
+
 def learn_terms(sample: DataFrame) -> list[tuple[str, float]]:
     """``(word, log ratio)`` of the words that mark toxic documents.
 
-    Equal texts, and near copies of five words and a similarity of 0.8, count once,
-    as toxic if any of them is marked so. Candidates are the words in SUPPORT toxic
+    Equal texts, and near copies by the signatures of their five-word shingles (ALIKE),
+    count once, as toxic if any of them is marked so. The sample's signatures, SAMPLE
+    at most, are compared by the driver. Candidates are the words in SUPPORT toxic
     texts or more whose association is strong (RATIO) and no chance (GAIN); there is
     no limit to their number. The lexicon is chosen by weighted covering: each choice
     makes its documents count less for the next, so that the words that only some
@@ -235,8 +250,16 @@ def learn_terms(sample: DataFrame) -> list[tuple[str, float]]:
     """
     texts = sample.groupBy("text").agg(F.max("toxic").alias("toxic"))
     # Toxic copies first, so that these stay.
-    texts = saved(texts.withColumn("doc_id", F.shiftright(F.xxhash64("text"), 1) + F.when(F.col("toxic") == 0, 2**62).otherwise(-(2**62))))
-    sample = saved(keep_one_of_each(texts))
+    number = F.shiftright(F.xxhash64("text"), 1) + F.when(F.col("toxic") == 0, 2**62).otherwise(-(2**62))
+    texts = saved(sketches(texts.withColumn("doc_id", number), 5, hashes_for(ALIKE, MISS)))
+    signed = texts.where("signature IS NOT NULL").select("doc_id", "signature").orderBy("doc_id").collect()
+    dropped = []
+    if signed:
+        copies = _near_copies(np.stack([np.frombuffer(r.signature, np.uint32) for r in signed]))
+        dropped = [(r.doc_id,) for r, copy in zip(signed, copies) if copy]
+    # No more rows than the sample has, of one number each.
+    away = sample.sparkSession.createDataFrame(dropped, "doc_id bigint")
+    sample = texts.select("doc_id", "text", "toxic").join(F.broadcast(away), "doc_id", "left_anti")
     totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("p")).first()
     n, p = totals.n, totals.p
     if not p or p == n:
