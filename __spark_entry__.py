@@ -311,7 +311,7 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tfidf_record": _with_heavy_terms(lambda corpus, heavy: scoring.score(corpus, heavy=heavy)),
         "tfidf_window": _scores("window"),
         "tfidf_lookup": _scores("lookup"),
-        "tfidf_broadcast": _scores("broadcast"),
+        "tfidf_broadcast": _scores("broadcast", overflow="shuffle"),
         "tf_idf_join": _scores("join"),
         "tfidf_product": _scores("product"),
         "tfidf_chunked": _scores("window", chunk_bytes=SMALL_CHUNK),

@@ -34,10 +34,13 @@ HOT_KEYS = 10_000
 SPREAD = 1_000_000
 
 
-def _hot_part(table: DataFrame, key: str, weight: str, values: list[str], hot_keys: int) -> DataFrame:
-    """The hot keys of ``table``, fewer than ``hot_keys``, with values named ``hot_*``."""
-    share = table.agg((F.sum(weight) / F.lit(hot_keys)).alias("share")).scalar()
-    return table.where(F.col(weight) > share).select(
+def _hot_part(
+    table: DataFrame, key: str, weight: str, values: list[str], hot_keys: int, hot: Column | None = None
+) -> DataFrame:
+    """The hot keys of ``table``, fewer than ``hot_keys`` or those of ``hot``, with values named ``hot_*``."""
+    if hot is None:
+        hot = F.col(weight) > table.agg((F.sum(weight) / F.lit(hot_keys)).alias("share")).scalar()
+    return table.where(hot).select(
         brief(F.col(key)).alias("hot_key"), *(F.col(v).alias(f"hot_{v}") for v in values)
     )
 
@@ -60,11 +63,13 @@ def attach_by_term(
     weight: str,
     hot_keys: int = HOT_KEYS,
     join_hint: str | None = None,
+    hot: Column | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` (``doc``, ``term``, ...) with ``table`` on ``term``.
 
     ``table`` has one row per term and no NULLs; ``weight`` is its column that
-    bounds the number of ``rows`` of a term.
+    bounds the number of ``rows`` of a term. ``hot`` is a condition on ``table`` for the
+    keys to broadcast, in place of ``hot_keys``, for callers that know their size.
     """
     values = [c for c in table.columns if c != "term"]
     served = F.col(f"hot_{values[0]}").isNotNull()
@@ -72,7 +77,7 @@ def attach_by_term(
     # row's term is its key and needs no second copy in the shuffle.
     lane = F.concat(F.lit(" "), _lane("doc"))
     keyed = (
-        _with_hot(rows, _hot_part(table, "term", weight, values, hot_keys), "term")
+        _with_hot(rows, _hot_part(table, "term", weight, values, hot_keys, hot), "term")
         .withColumn("probe", F.when(served, lane).otherwise(F.col("term")))
         .withColumn("term", F.when(served, F.col("term")))
     )

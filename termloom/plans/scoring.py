@@ -14,8 +14,9 @@ They differ in how ``num_docs_with_word`` finds its way to the pairs:
     read twice; hot terms come from exact counts.
 ``broadcast``
     The whole vocabulary broadcast; no shuffle of the pairs. Its size is measured
-    first, by a job that runs when this is called, and a vocabulary that is too
-    large is refused.
+    first, by a job that runs when this is called. A vocabulary that is too large is
+    refused, or, with ``overflow="shuffle"``, its most frequent terms are broadcast as
+    far as there is room and the others looked up as by ``lookup``.
 ``join``
     TF and IDF tables joined on (document, term).
 ``product``
@@ -56,6 +57,9 @@ from termloom.operators.totals import Heavy, heavy_groups, heavy_terms, keys_of,
 
 STRATEGIES = ("window", "lookup", "broadcast", "join", "product")
 
+# What becomes of a vocabulary that is too large for a broadcast.
+OVERFLOWS = ("refuse", "shuffle")
+
 # A broadcast is held by every executor and built by the driver.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Room that a row takes in a broadcast table beside its term.
@@ -108,21 +112,35 @@ def counts_with_totals(
     return attach_by_doc(held.select("doc", "term", "word_count", total), doc_sizes(lines, "line"), "doc_size")
 
 
-def fits_broadcast(frequency: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure a frequency table. Runs a job; one row comes back to the driver."""
+def least_broadcast(frequency: DataFrame, max_bytes: int = BROADCAST_BYTES) -> int:
+    """The least frequency of the terms that fit a broadcast, most frequent ones first; 0 if all do.
+
+    Runs a job. Frequencies are told apart by their powers of two, so at most 64 rows
+    come back to the driver.
+    """
+    power = F.length(F.bin("num_docs_with_word"))
     size = F.sum(F.octet_length("term") + F.lit(_ROW_BYTES)).alias("size")
-    return (frequency.agg(size).first()["size"] or 0) <= max_bytes
+    taken = 0
+    for row in sorted(frequency.groupBy(power.alias("power")).agg(size).collect(), key=lambda r: -r.power):
+        taken += row["size"]
+        if taken > max_bytes:
+            return 1 << row.power
+    return 0
 
 
 def _counts_with_lookup(
-    corpus: DataFrame, grain: str, strategy: str, max_bytes: int, join_hint: str | None
+    corpus: DataFrame, grain: str, strategy: str, max_bytes: int, join_hint: str | None, overflow: str
 ) -> DataFrame:
     """The columns of ``counts_with_totals``, by a lookup of the frequencies."""
     counts, frequency = counts_and_frequency(corpus, grain, join_hint)
     if strategy == "broadcast":
-        if not fits_broadcast(frequency, max_bytes):
-            raise ValueError(f"the vocabulary takes more than {max_bytes} bytes; use 'lookup'")
-        return counts.join(F.broadcast(frequency), "term")
+        least = least_broadcast(frequency, max_bytes)
+        if least == 0:
+            return counts.join(F.broadcast(frequency), "term")
+        if overflow == "refuse":
+            raise ValueError(f"the vocabulary takes more than {max_bytes} bytes; use 'lookup' or overflow='shuffle'")
+        hot = F.col("num_docs_with_word") >= least
+        return attach_by_term(counts, frequency, "num_docs_with_word", join_hint=join_hint, hot=hot)
     return attach_by_term(counts, frequency, "num_docs_with_word", join_hint=join_hint)
 
 
@@ -143,6 +161,7 @@ def score(
     check: bool = False,
     heavy: Heavy | None = None,
     chunk_bytes: int | None = None,
+    overflow: str = "refuse",
 ) -> DataFrame:
     """Score a corpus of ``(doc, text)``; see the module's text for strategies.
 
@@ -159,11 +178,15 @@ def score(
     ``chunk_bytes`` is for the strategies ``window`` and ``product``: rows with longer
     texts are counted in chunks, so that a task never has the terms of a whole one.
 
+    ``overflow`` is for the strategy ``broadcast``: ``"refuse"`` or ``"shuffle"``.
+
     Columns: ``doc, term, word_count, doc_size, num_docs, num_docs_with_word,
     tfidf``. Terms that are in every document score 0 and are kept.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
+    if overflow not in OVERFLOWS:
+        raise ValueError(f"overflow must be one of {OVERFLOWS}, not {overflow!r}")
     check_grain(grain)
     corpus = corpus.where("doc IS NOT NULL")
     if check and grain == "document":
@@ -189,7 +212,7 @@ def score(
         matched = counts_with_totals(corpus, grain, heavy, chunk_bytes)
     else:
         matched = _counts_with_lookup(
-            corpus, grain, strategy, max_broadcast_bytes, join_hint
+            corpus, grain, strategy, max_broadcast_bytes, join_hint, overflow
         )
     return _scored(matched, docs)
 
