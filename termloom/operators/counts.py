@@ -9,12 +9,11 @@ very common term can unbalance.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import has_terms, terms_of
 from termloom.operators.chunks import bounded_lines, is_long
-from termloom.operators.lookup import attach_by_doc
 from termloom.operators.tokens import terms_per_row, tokenize
 
 GRAINS = ("document", "line")
@@ -73,21 +72,27 @@ def line_counts(corpus: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
     return _runs(lines if chunk_bytes is None else bounded_lines(lines, chunk_bytes)).drop("doc_size")
 
 
+def chunk_counts_with_size(corpus: DataFrame, chunk_bytes: int) -> DataFrame:
+    """``(doc, term, word_count, doc_size)`` at document grain, all texts counted in chunks.
+
+    Counts meet by document; where the corpus lies by ``doc`` (``widen``) nothing is
+    shuffled. Sizes are totals over the counts, which may spill, where these then are.
+    """
+    merged = line_counts(corpus, chunk_bytes).groupBy("doc", "term").agg(F.sum("word_count").alias("word_count"))
+    return merged.withColumn("doc_size", F.sum("word_count").over(Window.partitionBy("doc")))
+
+
 def term_counts_with_size(corpus: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
     """``(doc, term, word_count, doc_size)`` at document grain, without a shuffle.
 
     With ``chunk_bytes``, texts beyond that many bytes are counted in chunks, and only
-    their counts meet in a shuffle; the corpus is then scanned once for the short texts
-    and once for the long ones, and the sizes of the latter are looked up.
+    their counts meet (``chunk_counts_with_size``); the corpus is then scanned once for
+    the short texts and once for the long ones.
     """
     if chunk_bytes is None:
         return _runs(corpus)
     long = is_long(F.col("text"), chunk_bytes)
-    merged = line_counts(corpus.where(long), chunk_bytes).groupBy("doc", "term").agg(
-        F.sum("word_count").alias("word_count")
-    )
-    sized = attach_by_doc(merged, sizes_of_counts(merged), "doc_size")
-    return _runs(corpus.where(~long)).unionByName(sized)
+    return _runs(corpus.where(~long)).unionByName(chunk_counts_with_size(corpus.where(long), chunk_bytes))
 
 
 def term_counts(corpus: DataFrame, grain: str = "document", chunk_bytes: int | None = None) -> DataFrame:

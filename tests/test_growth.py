@@ -34,3 +34,11 @@ def test_room_for_terms(spark):
 def test_overflow_is_known(corpus):
     with pytest.raises(ValueError, match="overflow"):
         score(corpus(ROWS), strategy="broadcast", overflow="other")
+
+
+def test_chunked_sizes_of_repeated_documents(spark):
+    """Long rows of one document count as one."""
+    rows = [("a", "x y x " * 20), ("a", "x z " * 20), ("b", "y"), ("n", None), (None, "x " * 50)]
+    table = spark.createDataFrame(rows, "doc string, text string")
+    found = {tuple(r) for r in term_counts_with_size(table, 10).collect()}
+    assert found == {("a", "x", 60, 100), ("a", "y", 20, 100), ("a", "z", 20, 100), ("b", "y", 1, 1)}
