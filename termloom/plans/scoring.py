@@ -43,6 +43,7 @@ from termloom.operators.combine import (
 from termloom.operators.chunks import bounded_lines
 from termloom.operators.counts import (
     check_grain,
+    chunk_counts_with_size,
     doc_sizes,
     line_counts,
     num_docs,
@@ -99,14 +100,18 @@ def counts_with_totals(
 ) -> DataFrame:
     """``(doc, term, word_count, doc_size, num_docs_with_word)`` by group totals.
 
-    At document grain texts are read once and pairs shuffled once. At line grain, and for
-    chunks, the sizes of documents come from a second reading, which counts terms and
-    shuffles a row for each document and task; they are looked up by a second shuffle of
-    the pairs.
+    At document grain texts are read once and pairs shuffled once; for chunks once more,
+    by document, unless the corpus lies so. At line grain the sizes of documents come from
+    a second reading, which counts terms and shuffles a row for each document and task;
+    they are looked up by a second shuffle of the pairs.
     """
     total = "num_docs_with_word"
-    if grain == "document" and chunk_bytes is None:
-        return with_group_total(term_counts_with_size(corpus), "term", "doc", F.lit(1), total, heavy)
+    if grain == "document":
+        if chunk_bytes is None:
+            sized = term_counts_with_size(corpus)
+        else:
+            sized = chunk_counts_with_size(corpus, chunk_bytes)
+        return with_group_total(sized, "term", "doc", F.lit(1), total, heavy)
     held = total_of_slices(merged_line_counts(corpus, heavy, chunk_bytes), "term", F.lit(1), total)
     lines = corpus if chunk_bytes is None else bounded_lines(corpus, chunk_bytes)
     return attach_by_doc(held.select("doc", "term", "word_count", total), doc_sizes(lines, "line"), "doc_size")
