@@ -25,7 +25,7 @@ from termloom.sinks.report import key_bounds, report  # noqa: E402
 from termloom.sinks.versions import load_current, publish  # noqa: E402
 from termloom.sources import stages  # noqa: E402
 from termloom.sources.files import names_from_paths  # noqa: E402
-from termloom.sources.tables import corpus_from, deal_by_bytes, widen  # noqa: E402
+from termloom.sources.tables import corpus_from, deal_by_bytes, partitions_for, widen  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -52,11 +52,13 @@ def _raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return widen(_raw_documents(spark, sf_dir), _cores(spark), "doc")
+    raw = _raw_documents(spark, sf_dir)
+    return widen(raw, partitions_for(raw, _cores(spark)), "doc")
 
 
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return widen(_raw_conversations(spark, sf_dir), _cores(spark))
+    raw = _raw_conversations(spark, sf_dir)
+    return widen(raw, partitions_for(raw, _cores(spark)))
 
 
 def _cores(spark: SparkSession) -> int:

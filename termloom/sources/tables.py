@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import heapq
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Lanes that documents are dealt to for each partition.
 LANES = 64
+# Bytes of text that a partition should hold; its terms and their counts take many times that.
+PART_BYTES = 16 << 20
 
 
 def corpus_from(table: DataFrame, doc: str, text: str) -> DataFrame:
@@ -20,6 +23,16 @@ def corpus_from(table: DataFrame, doc: str, text: str) -> DataFrame:
     return table.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
 
 
+def partitions_for(corpus: DataFrame, least: int, part_bytes: int = PART_BYTES) -> int:
+    """Partitions of about ``part_bytes`` of text each, but ``least`` at least.
+
+    Runs a job that adds up the texts' lengths: what a task has of a corpus must not
+    grow with the corpus.
+    """
+    size = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(least, ceil(size / part_bytes))
+
+
 def widen(corpus: DataFrame, partitions: int, *by: str) -> DataFrame:
     """Spread a corpus that comes in too few splits over ``partitions``.
 
