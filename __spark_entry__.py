@@ -135,19 +135,24 @@ def _score_counts(corpus: DataFrame, heavy) -> DataFrame:
 def _score_buckets(by_frequency: bool):
     """Scores of counts that were saved by term; by a saved frequency table, or by totals over the counts."""
 
-    def operator(corpus: DataFrame, heavy) -> DataFrame:
-        spark, buckets = corpus.sparkSession, _cores(corpus.sparkSession)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = _raw_documents(spark, sf_dir)
+        # As many buckets as partitions of texts: a bucket is sorted by one task, and must not grow with the corpus.
+        buckets = partitions_for(raw, _cores(spark))
+        corpus = widen(raw, buckets, "doc")
         path = stages.stage_path(spark)
         name = f"termloom_{path.rsplit('-', 1)[-1]}"
-        heavy = None if by_frequency else heavy
+        heavy = None if by_frequency else totals.heavy_terms(raw, buckets)
         stages.save_counts(counts.term_counts_with_size(corpus), f"{name}_counts", buckets, heavy, f"{path}/counts")
         saved = spark.table(f"{name}_counts")
-        if not by_frequency:
-            return scoring.score_counts(saved, corpus, {}).select("doc", "term", "tfidf")
-        stages.save_frequency(frequency.doc_freq_of_counts(saved), f"{name}_frequency", buckets, f"{path}/frequency")
-        return scoring.score_with_frequency(saved, spark.table(f"{name}_frequency"), corpus).select("doc", "term", "tfidf")
+        if by_frequency:
+            stages.save_frequency(frequency.doc_freq_of_counts(saved), f"{name}_frequency", buckets, f"{path}/frequency")
+            scored = scoring.score_with_frequency(saved, spark.table(f"{name}_frequency"), raw)
+        else:
+            scored = scoring.score_counts(saved, raw, {})
+        return _round(scored.select(F.col("doc").alias("doc_id"), "term", "tfidf"))
 
-    return _with_heavy_terms(operator)
+    return query
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
