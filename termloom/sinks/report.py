@@ -2,40 +2,38 @@
 
 from __future__ import annotations
 
-import re
-from itertools import islice
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.keys import KEY_DELIMITER, fixed_point, pack_key
-from termloom.functions.text import TERM_PATTERN
-from termloom.operators.totals import SAMPLED_CHARACTERS, SAMPLED_DOCS, SAMPLED_PARTITIONS
+from termloom.functions.text import terms_of
+from termloom.operators.totals import SAMPLED_CHARACTERS
 
 # Bounds that are compared with a key at once.
 _STEP = 64
+# About so many rows are sampled for bounds, and of each every so manieth key.
+_SAMPLED_ROWS = 4_096
+_KEY_STEP = 32
 ORDERS = ("total", "file", "none")
 
 
 def key_bounds(corpus: DataFrame, ranges: int | None = None) -> list[str]:
     """Keys that cut a corpus's report into about ``ranges`` parts of like size, as many as shuffle partitions.
 
-    Out of the first texts of some partitions, by a job over these; wrong bounds cost
+    Out of a bounded sample of all rows, wherever they lie: rows that lie together have
+    keys that lie together, so the first ones of a few partitions would leave all others
+    to a few ranges. Runs a job that counts and one that samples; wrong bounds cost
     balance, never order.
     """
     ranges = ranges or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    name = F.col("doc").cast("string")
-    texts = corpus.select(name.alias("doc"), F.substring("text", 1, SAMPLED_CHARACTERS)).where("doc IS NOT NULL").rdd
-    parts = texts.getNumPartitions()
-    chosen = sorted({k * parts // SAMPLED_PARTITIONS for k in range(SAMPLED_PARTITIONS)}) if parts else []
-    most, pattern, delimiter = SAMPLED_DOCS, TERM_PATTERN, KEY_DELIMITER
-
-    def keys(rows) -> list[str]:
-        cut = re.compile(pattern).findall
-        return [doc + delimiter + t for doc, text in islice(rows, most) for t in set(cut(text or ""))]
-
+    rows = corpus.where("doc IS NOT NULL")
+    count = rows.count()
+    sample = rows.sample(min(1.0, _SAMPLED_ROWS / count), seed=0) if count else rows
+    terms = F.array_distinct(terms_of(F.substring("text", 1, SAMPLED_CHARACTERS)))
+    some = F.filter(terms, lambda _, at: at % _KEY_STEP == 0)
+    keys = sample.select("doc", F.explode(some).alias("term")).select(pack_key(F.col("doc"), F.col("term")).alias("key"))
     # In the order of their bytes, as Spark compares strings.
-    found = sorted(texts.context.runJob(texts, keys, chosen), key=str.encode)
+    found = sorted((r.key for r in keys.collect()), key=str.encode)
     places = sorted({k * len(found) // ranges for k in range(1, ranges)}) if found else []
     return list(dict.fromkeys(found[k] for k in places))
 
