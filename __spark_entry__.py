@@ -56,6 +56,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return widen(raw, partitions_for(raw, _cores(spark)), "doc")
 
 
+def _spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for steps that hold one row at a time: texts are shuffled only where too few tasks would read them."""
+    raw = _raw_documents(spark, sf_dir)
+    return raw if raw.rdd.getNumPartitions() >= _cores(spark) else widen(raw, _cores(spark), "doc")
+
+
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw_conversations(spark, sf_dir)
     return widen(raw, partitions_for(raw, _cores(spark)))
@@ -97,23 +103,23 @@ def _on_conversations(operator: Callable[[DataFrame], DataFrame]):
     return query
 
 
-def _with_heavy_terms(operator: Callable):
+def _with_heavy_terms(operator: Callable, documents: Callable = _documents):
     """``operator`` gets the documents, and the terms to cut into slices, found before the table is spread."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         heavy = totals.heavy_terms(_raw_documents(spark, sf_dir))
-        result = _round(operator(_documents(spark, sf_dir), heavy))
+        result = _round(operator(documents(spark, sf_dir), heavy))
         return result.withColumnRenamed("doc", "doc_id")
 
     return query
 
 
-def _scores(strategy: str, **options):
+def _scores(strategy: str, documents: Callable = _documents, **options):
     def operator(corpus: DataFrame, heavy) -> DataFrame:
         scored = scoring.score(corpus, "document", strategy, heavy=heavy, **options)
         return scored.select("doc", "term", "tfidf")
 
-    return _with_heavy_terms(operator)
+    return _with_heavy_terms(operator, documents)
 
 
 def _line_scores(strategy: str, **options):
@@ -319,7 +325,7 @@ def _statistics() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tfidf_window": _scores("window"),
         "tfidf_lookup": _scores("lookup"),
         "tfidf_broadcast": _scores("broadcast", overflow="shuffle"),
-        "tf_idf_join": _scores("join"),
+        "tf_idf_join": _scores("join", _spread_documents),
         "tfidf_product": _scores("product"),
         "tfidf_chunked": _scores("window", chunk_bytes=SMALL_CHUNK),
         "tfidf_counts": _with_heavy_terms(_score_counts),
